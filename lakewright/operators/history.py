@@ -42,8 +42,8 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
     """
     names = dim.columns
     opened = dim.filter("is_current").alias("o")
-    arriving = incoming.select(*names).withColumn("_arrived", F.lit(True)).alias("n")
-    known = dim.filter(~F.col("is_current")).select(*keys).distinct().withColumn("_known", F.lit(True)).alias("h")
+    known = dim.filter(~F.col("is_current")).select(*keys).distinct().withColumn("_known", F.lit(True))
+    arriving = incoming.select(*names).withColumn("_arrived", F.lit(True)).join(known, list(keys), "left").alias("n")
     day = F.lit(as_of).cast("date")
 
     has_old, has_new = F.col("o.is_current").isNotNull(), F.col("n._arrived").isNotNull()
@@ -58,7 +58,7 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
     changed = has_old & has_new & differs
     expired = row("o", F.lit("expired"), end_date=F.date_sub(day, 1), is_current=F.lit(False))
     kept = row("o", F.lit("kept"))
-    first_seen = F.when(F.col("h._known"), F.lit("new_version")).otherwise(F.lit("new_entity"))
+    first_seen = F.when(F.col("n._known"), F.lit("new_version")).otherwise(F.lit("new_entity"))
     new_tag = F.when(has_old & same_day, F.lit("replaced")).when(has_old, F.lit("new_version")).otherwise(first_seen)
     versions = F.array_compact(
         F.array(
@@ -68,7 +68,6 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
     )
     moved = (
         opened.join(arriving, all_equal("o", "n", keys), "full")
-        .join(known, all_equal("n", "h", keys), "left")
         .select(F.explode(versions).alias("_v"))
         .select("_v.*")
     )
