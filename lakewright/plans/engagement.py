@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from lakewright.operators.incremental import insert_if_absent, lookback_start, merge_by_key
+from lakewright.operators.windows import keep_latest
 from lakewright.streaming.events import clean_events
 from lakewright.streaming.features import EventNames, user_features
 
@@ -32,11 +33,15 @@ EVENT_SCHEMA = StructType(
 )
 
 
+ORDER = ["ingestion_ts", "user_id", "content_id", "session_id"]
+
+
 def clean_table(existing: DataFrame | None, raw: DataFrame) -> DataFrame:
-    """Clean events merged into the existing ones by id; the first delivery wins."""
+    """Clean events by id: stored rows stay, of several new copies the newest is added."""
     fresh = clean_events(raw)
-    start = fresh.limit(0) if existing is None else existing
-    return insert_if_absent(start, fresh, ["event_id"], "event_ts", ["ingestion_ts", "user_id", "content_id", "session_id"])
+    if existing is None:
+        return keep_latest(fresh, ["event_id"], "event_ts", ORDER)
+    return insert_if_absent(existing, fresh, ["event_id"], "event_ts", ORDER)
 
 
 def event_view(clean: DataFrame) -> DataFrame:

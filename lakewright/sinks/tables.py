@@ -29,7 +29,9 @@ def same_columns(left: StructType, right: StructType) -> bool:
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str], max_rows_per_file: int | None):
-    writer = df.write
+    # rebalancing brings each partition's rows together and AQE splits the big ones,
+    # so the table gets neither one file per task and partition nor one giant task
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_rows_per_file:
@@ -56,7 +58,8 @@ def overwrite_table(
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions the frame has rows for."""
-    df.write.partitionBy(*partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    writer = _writer(df, partition_by, None)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -78,15 +81,26 @@ def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = (), e
     return stored
 
 
-def register_table(spark: SparkSession, name: str, path: str, replace: bool = False) -> DataFrame:
-    """Catalog entry over an existing folder, created if absent or replaced."""
+def register_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: StructType | None = None,
+    partition_by: Sequence[str] = (),
+    replace: bool = False,
+) -> DataFrame:
+    """Catalog entry over an existing folder, created if absent or replaced.
+
+    A partitioned table needs its schema, and its partitions are found on disk.
+    """
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    if read_table(spark, path).columns != spark.table(name).columns or spark.catalog.listColumns(name):
-        spark.catalog.refreshTable(name)
-        if any(column.isPartition for column in spark.catalog.listColumns(name)):
-            spark.catalog.recoverPartitions(name)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) if schema else ""
+    declared = f"({columns})" if columns else ""
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {declared} USING parquet {partitions} LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
@@ -125,7 +139,7 @@ def materialize(
         raise ValueError(f"mode '{mode}' needs a path")
     if mode == "table":
         overwrite_table(df, path, partition_by, evolve=True)
-        return register_table(spark, name, path, replace=True)
+        return register_table(spark, name, path, df.schema, partition_by, replace=True)
     if mode == "incremental":
         if not table_exists(spark, path):
             overwrite_table(df, path, partition_by)

@@ -53,9 +53,14 @@ def read_typed_csv(
     return raw.withColumns(parsed) if parsed else raw
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Columnar table addressed by its folder."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Columnar table addressed by its folder.
+
+    A schema keeps the types of partition columns, whose folder names would
+    otherwise be read as numbers (``01`` as 1) or text (``true``).
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
