@@ -11,6 +11,7 @@ from lakewright.catalog import standins as s
 from lakewright.catalog.base import query, table
 from lakewright.catalog.joins import CUTS, HISTORY, TRACKED, at_first, at_second, customer_history
 from lakewright.catalog.sources import FEATURES, NAMES
+from lakewright.functions.dates import moment
 from lakewright.operators.history import (
     prepare_versions,
     scd2_apply,
@@ -42,7 +43,7 @@ def high_water_mark(spark: SparkSession, sf: str) -> DataFrame:
     """A target filled up to a day, then the whole source: only later rows are added."""
     path = scratch_path(spark, "mark")
     source = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.lit("second").alias("load"))
-    early = source.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).withColumn("load", F.lit("first"))
+    early = source.filter(F.col("o_orderdate") < moment(date(2000, 1, 1), "timestamp_ntz")).withColumn("load", F.lit("first"))
     append_table(early, path)
     return append_new(read_table(spark, path), source, "o_orderdate")
 
@@ -55,7 +56,7 @@ def inclusive_mark(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that share the newest time of the target are still added, by key."""
     path = scratch_path(spark, "inclusive")
     source = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    limit = F.lit("2000-01-01").cast("timestamp_ntz")
+    limit = moment(date(2000, 1, 1), "timestamp_ntz")
     status = table(spark, sf, "orders").filter(
         (F.col("o_orderdate") < limit) | ((F.col("o_orderdate") == limit) & (F.col("o_orderstatus") == "F"))
     )
@@ -78,7 +79,7 @@ REFRESH_AT = datetime(2024, 1, 20, 13, 37, 21)
 def lookback_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Features up to a time, then the last two hours and everything newer again: equal to a full rebuild."""
     events = table(spark, sf, "events")
-    stored = user_features(events.filter(F.col("ts") < F.lit(REFRESH_AT).cast("timestamp_ntz")), "ts", names=NAMES)
+    stored = user_features(events.filter(F.col("ts") < moment(REFRESH_AT, "timestamp_ntz")), "ts", names=NAMES)
     return refresh_features(stored, events, REFRESH_AT, at="ts", names=NAMES)
 
 
@@ -112,7 +113,7 @@ def absent_inserted(spark: SparkSession, sf: str) -> DataFrame:
     """A batch that repeats everything, twice over, adds each missing event once."""
     events = table(spark, sf, "events")
     columns = ["event_id", "user_id", "event_type"]
-    stored = events.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")).select(*columns)
+    stored = events.filter(F.col("ts") < moment(date(2024, 1, 15), "timestamp_ntz")).select(*columns)
     batch = events.select("event_id", "user_id", F.concat(F.lit("late "), F.col("event_type")).alias("event_type"))
     return insert_if_absent(stored, batch.unionByName(batch), ["event_id"], "user_id", ["event_type"])
 

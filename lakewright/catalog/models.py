@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakewright.catalog import standins as s
 from lakewright.catalog.base import query, table
 from lakewright.catalog.sources import FEATURES, NAMES
+from lakewright.functions.dates import moment
 from lakewright.plans import engagement, labour, rentals
 from lakewright.session import scratch_path
 from lakewright.sinks.tables import overwrite_table, register_table, write_verified
@@ -225,7 +226,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "features")
     events = table(spark, sf, "events")
     as_of: datetime = events.agg(F.max("ts").alias("t")).first()["t"]
-    overwrite_table(user_features(events.filter(F.col("ts") < F.lit(as_of).cast("timestamp_ntz")), "ts", names=NAMES), path)
+    overwrite_table(user_features(events.filter(F.col("ts") < moment(as_of, "timestamp_ntz")), "ts", names=NAMES), path)
     return engagement.refresh_features(read_table(spark, path), events, as_of, at="ts", names=NAMES)
 
 

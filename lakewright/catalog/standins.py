@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.catalog.base import table
+from lakewright.functions.dates import moment
 from lakewright.operators.skew import small
 from lakewright.plans.engagement import EVENT_SCHEMA
 from lakewright.plans.labour import (
@@ -153,11 +154,13 @@ def industry_arrival(spark: SparkSession, sf: str) -> DataFrame:
 
 def two_loads(arrived: DataFrame, drops: tuple[str, ...], source: str) -> DataFrame:
     """The file as first loaded, and its later months loaded again with revised values."""
-    revised = (
-        arrived.filter(F.col("REF_DATE") >= REVISED_FROM)
-        .withColumn("VALUE", (F.col("VALUE").cast("decimal(18,1)") + F.lit(0.5).cast("decimal(2,1)")).cast("decimal(18,1)").cast("string"))
+    loads = F.when(F.col("REF_DATE") >= REVISED_FROM, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    revised = (F.col("VALUE").cast("decimal(18,1)") + F.lit(0.5).cast("decimal(2,1)")).cast("decimal(18,1)").cast("string")
+    delivered = arrived.withColumn("revision", F.explode(loads)).withColumn(
+        "VALUE", F.when(F.col("revision"), revised).otherwise(F.col("VALUE"))
     )
-    return raw_layer(arrived, drops, source, FIRST_LOAD).unionByName(raw_layer(revised, drops, source, SECOND_LOAD))
+    loaded_at = F.when(F.col("revision"), moment(SECOND_LOAD)).otherwise(moment(FIRST_LOAD))
+    return raw_layer(delivered, drops, source, loaded_at).drop("revision")
 
 
 def province_raw(spark: SparkSession, sf: str) -> DataFrame:

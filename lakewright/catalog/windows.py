@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from lakewright.catalog import standins as s
 from lakewright.catalog.base import query, table
 from lakewright.catalog.sources import FEATURES, NAMES
+from lakewright.functions.keys import compact
 from lakewright.operators.ranks import average_rank
 from lakewright.operators.windows import keep_latest, trend_metrics
+from lakewright.session import scratch_path
+from lakewright.sinks.tables import overwrite_table
+from lakewright.sources.files import read_table
 from lakewright.streaming.features import user_features
 
 SERIES_SQL = f"""WITH {s.PRICED},
@@ -63,8 +67,8 @@ def latest_line(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT doc_id, text, lang FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY n_chars DESC, doc_id DESC) = 1""",
 )
 def one_per_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Copies are told apart by a hash of the text, so the shuffle key is short."""
-    documents = table(spark, sf, "documents").withColumn("_text_key", F.sha2("text", 256))
+    """Long texts are told apart by their hash, so the key is short."""
+    documents = table(spark, sf, "documents").withColumn("_text_key", compact(F.col("text")))
     return keep_latest(documents, ["_text_key"], "n_chars", ["doc_id"]).select("doc_id", "text", "lang")
 
 
@@ -121,9 +125,10 @@ def rolling_mean(spark: SparkSession, sf: str) -> DataFrame:
         FROM scored""",
 )
 def score_rank(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "scores")
     features = user_features(table(spark, sf, "events"), "ts", width="1 day", names=NAMES)
-    scores = features.select("user_id", "window_start", F.col("engagement_score").cast("double").alias("engagement_score"))
-    return average_rank(scores, "engagement_score", "score_rank")
+    overwrite_table(features.select("user_id", "window_start", F.col("engagement_score").cast("double").alias("engagement_score")), path)
+    return average_rank(read_table(spark, path), "engagement_score", "score_rank")
 
 
 @query(

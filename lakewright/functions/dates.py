@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+
+def moment(value: date | datetime, kind: str | DataType = "timestamp") -> Column:
+    """A wall-clock time as a literal of the given date or timestamp type, read in the session's zone."""
+    return F.lit(str(value)).cast(kind)
 
 
 def month_start_from_text(text: Column) -> Column:

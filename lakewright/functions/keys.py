@@ -8,6 +8,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NULL_MARKER = "_null_"
+LONG_TEXT = 64
+
+
+def compact(text: Column) -> Column:
+    """Text to group by: itself up to 64 characters, beyond that ``#`` and its SHA-256.
+
+    Equal texts stay equal and unequal ones unequal, but a long text does not
+    travel through the shuffle.
+    """
+    return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
 
 
 def hash_key(columns: Sequence[Column | str], algorithm: str = "sha256", sep: str = "|") -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.functions.keys import compact
 from lakewright.functions.numbers import to_number
 
 
@@ -23,6 +24,13 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> D
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1)
 
 
+def rows_per_key(df: DataFrame, keys: Sequence[str], name: str = "_n") -> DataFrame:
+    """Row count of each key, where only the counts matter: long texts are compared by hash."""
+    kinds = dict(df.dtypes)
+    short = [(compact(F.col(k)) if kinds[k] == "string" else F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*short).agg(F.count(F.lit(1)).alias(name))
+
+
 def counts_by(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, Column]) -> DataFrame:
     """Conditional counts per group."""
     return df.groupBy(*keys).agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
@@ -34,8 +42,7 @@ def group_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> Da
 
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows, distinct keys and the difference. NULL parts count as values."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(
+    return rows_per_key(df, keys).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows")
     ).withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
 

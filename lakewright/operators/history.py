@@ -13,6 +13,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakewright.functions.dates import moment
 from lakewright.functions.keys import hash_key
 from lakewright.operators.joins import all_equal, any_differs
 from lakewright.operators.windows import keep_latest
@@ -23,7 +24,7 @@ ACTION = "_action"
 
 def prepare_versions(df: DataFrame, keys: Sequence[str], as_of: date, surrogate: str = "version_key") -> DataFrame:
     """Incoming rows as open versions of ``as_of``: key hash first, validity last."""
-    day = F.lit(as_of).cast("date")
+    day = moment(as_of, "date")
     return df.select(
         hash_key([*keys, day.cast("string")]).alias(surrogate),
         *df.columns,
@@ -44,7 +45,7 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
     opened = dim.filter("is_current").alias("o")
     known = dim.filter(~F.col("is_current")).select(*keys).distinct().withColumn("_known", F.lit(True))
     arriving = incoming.select(*names).withColumn("_arrived", F.lit(True)).join(known, list(keys), "left").alias("n")
-    day = F.lit(as_of).cast("date")
+    day = moment(as_of, "date")
 
     has_old, has_new = F.col("o.is_current").isNotNull(), F.col("n._arrived").isNotNull()
     differs = any_differs("o", "n", tracked)
@@ -175,7 +176,7 @@ def snapshot(
     has_old, has_new = F.col(f"o.{key}").isNotNull(), F.col("n._seen").isNotNull()
     newer = has_old & has_new & (F.col(f"n.{updated_at}") > F.col("o.valid_from"))
     gone = has_old & ~has_new if hard_deletes == "invalidate" else F.lit(False)
-    closing = F.when(newer, F.col(f"n.{updated_at}")).when(gone, F.lit(as_of).cast(at_type))
+    closing = F.when(newer, F.col(f"n.{updated_at}")).when(gone, moment(as_of, at_type))
 
     def row(side: str, valid_to: Column) -> Column:
         return F.struct(*[(valid_to if c == "valid_to" else F.col(f"{side}.{c}")).alias(c) for c in names])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.functions.dates import moment
 from lakewright.operators.windows import keep_latest
 from lakewright.sinks.tables import SchemaMismatch, same_columns
 
@@ -40,9 +41,16 @@ def lookback_start(as_of: datetime, lookback: timedelta, align: timedelta) -> da
     return cut - (cut - datetime(1970, 1, 1)) % align
 
 
-def merge_by_key(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target with rows replaced or added by key; columns only one side has are NULL on the other."""
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
+def merge_by_key(target: DataFrame, fresh: DataFrame, keys: Sequence[str], touched: Column | None = None) -> DataFrame:
+    """Target with rows replaced or added by key; columns only one side has are NULL on the other.
+
+    ``touched`` is a condition every fresh row meets: target rows that do not
+    meet it pass by the join.
+    """
+    open_rows = target if touched is None else target.filter(touched)
+    kept = open_rows.join(fresh.select(*keys), list(keys), "left_anti")
+    if touched is not None:
+        kept = target.filter(~F.coalesce(touched, F.lit(False))).unionByName(kept)
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -64,7 +72,8 @@ def batch_ranges(begin: date, end: date, size: str = "year") -> list[tuple[date,
 
 
 def in_range(df: DataFrame, at: str, start: date, stop: date) -> DataFrame:
-    return df.filter((F.col(at) >= F.lit(start)) & (F.col(at) < F.lit(stop)))
+    kind = df.schema[at].dataType
+    return df.filter((F.col(at) >= moment(start, kind)) & (F.col(at) < moment(stop, kind)))
 
 
 def insert_if_absent(

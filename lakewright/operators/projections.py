@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.functions.dates import month_part, year_part
+from lakewright.functions.dates import moment, month_part, year_part
 from lakewright.functions.text import clean_name
 
 
@@ -38,9 +38,12 @@ def rename_contract(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.select([F.col(f"`{old}`").alias(new) for old, new in mapping.items()])
 
 
-def add_load_audit(df: DataFrame, source: str | Column, loaded_at: datetime | None = None) -> DataFrame:
+def add_load_audit(df: DataFrame, source: str | Column, loaded_at: datetime | Column | None = None) -> DataFrame:
     """Load time in whole seconds and the source file."""
-    at = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    if loaded_at is None:
+        at = F.current_timestamp()
+    else:
+        at = loaded_at if isinstance(loaded_at, Column) else moment(loaded_at)
     return df.withColumns(
         {
             "_ingested_at": F.date_trunc("second", at),

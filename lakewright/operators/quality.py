@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakewright.operators.aggregates import conjunction, repeated_keys
+from lakewright.functions.dates import moment
+from lakewright.operators.aggregates import conjunction, repeated_keys, rows_per_key
 from lakewright.operators.joins import orphans
 from lakewright.operators.ranks import exact_quantile
 from lakewright.sinks.tables import overwrite_table
@@ -91,10 +92,10 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
 
 def _freshness(check: Check, as_of: datetime) -> tuple[Column, Column]:
     newest = F.max(check.column).cast("timestamp")
-    limit = F.lit(as_of).cast("timestamp") - F.make_dt_interval(
+    limit = moment(as_of) - F.make_dt_interval(
         days=F.lit(int(check.args.get("days", 0))), hours=F.lit(int(check.args.get("hours", 0)))
     )
-    age_days = F.datediff(F.lit(as_of).cast("date"), newest.cast("date"))
+    age_days = F.datediff(moment(as_of).cast("date"), newest.cast("date"))
     return age_days.cast("double"), F.coalesce(newest >= limit, F.lit(False))
 
 
@@ -137,13 +138,12 @@ def _grouped(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     args, none = check.args, F.lit(0).cast("bigint")
     if check.kind == "unique":
         n = F.count(F.lit(1))
-        return repeated_keys(df.na.drop(subset=list(check.needs)), check.needs).agg(
+        return rows_per_key(df.na.drop(subset=list(check.needs)), check.needs).filter("_n > 1").agg(
             n.cast("double").alias("observed"), (n == 0).alias("passed"), n.alias("failing")
         )
     if check.kind == "no_duplicates":
-        per_key = df.groupBy(*check.needs).agg(F.count(F.lit(1)).alias("_n"))
         extra = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
-        return per_key.agg(extra.cast("double").alias("observed"), (extra == 0).alias("passed"), extra.alias("failing"))
+        return rows_per_key(df, check.needs).agg(extra.cast("double").alias("observed"), (extra == 0).alias("passed"), extra.alias("failing"))
     if check.kind == "relationship":
         n = F.count(F.lit(1))
         return orphans(df, check.column, tables[args["parent"]], args["parent_column"]).agg(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.operators.skew import salted_join
 
-BUCKETS = 256
+BUCKETS = 1000
 
 
 def _cut_points(df: DataFrame, by: str, buckets: int) -> list[float]:
@@ -17,11 +18,12 @@ def _cut_points(df: DataFrame, by: str, buckets: int) -> list[float]:
     return sorted(set(points))
 
 
-def _bucket_of(value: Column, points: list[float]) -> Column:
-    """Number of cut points at or under the value."""
+def _bucketed(df: DataFrame, by: str, points: list[float]) -> DataFrame:
+    """Add the range each value falls into, found by binary search."""
     if not points:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p <= value.cast("double")))
+        return df.withColumn("_bucket", F.lit(0.0))
+    edges = Bucketizer(splits=[float("-inf"), *points, float("inf")], inputCol="_key", outputCol="_bucket", handleInvalid="keep")
+    return edges.transform(df.withColumn("_key", F.col(by).cast("double"))).drop("_key")
 
 
 def value_positions(df: DataFrame, by: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
@@ -32,12 +34,7 @@ def value_positions(df: DataFrame, by: str, descending: bool = False, buckets: i
     the total of the ranges ahead of it (at most ``buckets`` rows).
     """
     points = _cut_points(df, by, buckets)
-    counts = (
-        df.filter(F.col(by).isNotNull())
-        .groupBy(by)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_bucket", _bucket_of(F.col(by), points))
-    )
+    counts = _bucketed(df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")), by, points)
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

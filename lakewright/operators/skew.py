@@ -8,14 +8,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# Spark's own default for automatic broadcasts.
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
+UNKNOWN_BYTES = 2**63
 SALT = "_salt"
 SALTS = "_salts"
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame: file sizes, scaled by the column pruning above them."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's upper estimate of a frame, or a huge number where it has none.
+
+    It starts from file or local sizes, multiplies the sides of joins and never
+    shrinks for filters or groupings, but it does not see rows multiplied by an
+    explode or a grouping expansion: such frames count as unknown.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if any(node in plan.toString() for node in ("Generate ", "Expand ")):
+        return UNKNOWN_BYTES
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
@@ -55,6 +65,8 @@ def salted_join(
     Left rows of a crowded key get a salt from the hash of the whole row; the
     right rows of that key are repeated once per salt. Both frames come back
     aliased ``l`` and ``r``. NULL keys match nothing and are spread as well.
+    The left frame is read twice more for its keys alone, so store it first if
+    it is costly to compute.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can be salted on the left")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
+from lakewright.functions.dates import moment
 from lakewright.operators.incremental import insert_if_absent, lookback_start, merge_by_key
 from lakewright.operators.windows import keep_latest
 from lakewright.streaming.events import clean_events
@@ -67,6 +68,7 @@ def refresh_features(
 ) -> DataFrame:
     """Recompute the windows of the last ``lookback`` and merge them by user and window."""
     start = lookback_start(as_of, lookback, width)
-    recent = events.filter(F.col(at) >= F.lit(start))
+    edge = moment(start, events.schema[at].dataType)
+    recent = events.filter(F.col(at) >= edge)
     fresh = user_features(recent, at, user, f"{int(width.total_seconds())} seconds", names=names)
-    return merge_by_key(features, fresh, [user, "window_start"])
+    return merge_by_key(features, fresh, [user, "window_start"], F.col("window_start") >= edge)

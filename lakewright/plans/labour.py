@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.functions.classify import SUPPRESSION_CODES, geo_level, geo_region, in_codes, unless
@@ -90,7 +90,7 @@ DIMENSION_KEY = ("geo", "labour_force_characteristic", "gender", "age_group")
 TRACKED = ("value", "status", "data_type")
 
 
-def raw_layer(arrived: DataFrame, drops: Sequence[str], source: str, loaded_at: datetime | None = None) -> DataFrame:
+def raw_layer(arrived: DataFrame, drops: Sequence[str], source: str, loaded_at: datetime | Column | None = None) -> DataFrame:
     """Arrived text columns with clean names, load audit and load-period columns."""
     trimmed = sanitize_names(drop_present(arrived, drops))
     return add_period_columns(add_load_audit(trimmed, source, loaded_at), "_ingested_at", "ingestion")

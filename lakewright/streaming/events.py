@@ -143,8 +143,9 @@ def start_routed(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for name, frame in zip(("valid", "rejected"), route(batch), strict=True):
-            frame.write.mode("overwrite").parquet(f"{outputs[name]}/batch_id={batch_id}")
+        with reused(batch) as kept:
+            for name, frame in zip(("valid", "rejected"), route(kept), strict=True):
+                frame.write.mode("overwrite").parquet(f"{outputs[name]}/batch_id={batch_id}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
