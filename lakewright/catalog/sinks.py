@@ -99,11 +99,13 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Two deliveries of the messages, one after the other; the second adds nothing."""
-    log, out, checkpoint = (scratch_path(spark, f"upsert-{n}") for n in ("log", "out", "state"))
-    messages = s.engagement_messages(spark, sf)
-    for _ in range(2):
-        append_table(messages, log)
-        stream = table_stream(spark, log, read_table(spark, log).schema)
+    log = s.message_log(spark, sf, "upsert")
+    out, checkpoint = scratch_path(spark, "upsert-out"), scratch_path(spark, "upsert-state")
+    messages = read_table(spark, log)
+    for delivery in (1, 2):
+        if delivery == 2:
+            append_table(messages, log)
+        stream = table_stream(spark, log, messages.schema, max_files=100)
         events = clean_events(parse_messages(stream, EVENT_SCHEMA))
         run_available(
             start_upsert(events, out, checkpoint, ["event_id"], "event_ts", ["ingestion_ts", "content_id"], every=None)

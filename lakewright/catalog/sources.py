@@ -96,8 +96,8 @@ def path_view(spark: SparkSession, sf: str) -> DataFrame:
 )
 def message_stream_shape(spark: SparkSession, sf: str) -> DataFrame:
     """A log of message bytes read as a stream; a broker gives the same columns."""
-    log, out, checkpoint = (scratch_path(spark, f"messages-{n}") for n in ("log", "out", "state"))
-    overwrite_table(s.engagement_messages(spark, sf), log)
+    log = s.message_log(spark, sf, "messages")
+    out, checkpoint = scratch_path(spark, "messages-out"), scratch_path(spark, "messages-state")
     stream = table_stream(spark, log, read_table(spark, log).schema)
     run_available(start_append(parse_messages(stream, EVENT_SCHEMA), out, checkpoint, every=None))
     return (

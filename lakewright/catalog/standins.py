@@ -15,6 +15,8 @@ from lakewright.catalog.base import table
 from lakewright.functions.dates import moment
 from lakewright.operators.skew import small
 from lakewright.plans.engagement import EVENT_SCHEMA
+from lakewright.session import scratch_path
+from lakewright.sinks.tables import append_table
 from lakewright.plans.labour import (
     ALL_INDUSTRIES,
     INDUSTRY_DROPS,
@@ -282,6 +284,13 @@ def engagement_messages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def message_log(spark: SparkSession, sf: str, label: str) -> str:
+    """The messages stored as a log of several files, as a broker's partitions would be; gives the folder."""
+    path = scratch_path(spark, f"{label}-log")
+    append_table(engagement_messages(spark, sf).repartition("offset"), path)
+    return path
+
+
 ENGAGEMENT_ONCE = f"""
 engagement_once AS (
   SELECT event_id::varchar AS event_id, CASE event_type {KIND_CASES} ELSE event_type END AS event_type,

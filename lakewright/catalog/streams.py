@@ -11,7 +11,7 @@ from lakewright.catalog.base import query, table
 from lakewright.catalog.sources import FEATURES, NAMES
 from lakewright.plans.engagement import EVENT_SCHEMA
 from lakewright.session import scratch_path
-from lakewright.sinks.tables import append_table, overwrite_table
+from lakewright.sinks.tables import append_table
 from lakewright.sources.files import read_table
 from lakewright.sources.streams import table_stream
 from lakewright.streaming.events import clean_events, first_of_each, route_events, split_late, start_routed
@@ -38,8 +38,7 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     f"""WITH {s.ENGAGEMENT} SELECT event_id, event_type, user_id, content_id, platform, event_ts, watch_duration FROM engagement""",
 )
 def message_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    log = scratch_path(spark, "ingest-log")
-    overwrite_table(s.engagement_messages(spark, sf), log)
+    log = s.message_log(spark, sf, "ingest")
     raw = run_to_table(parse_messages(table_stream(spark, log, read_table(spark, log).schema), EVENT_SCHEMA), "ingest")
     columns = ["event_id", "event_type", "user_id", "content_id", "platform", F.try_to_timestamp("event_ts").alias("event_ts"), "watch_duration"]
     return raw.select(*columns)
@@ -81,8 +80,7 @@ def late_rows_routed(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rejects_routed(spark: SparkSession, sf: str) -> DataFrame:
     """Each micro-batch writes its good rows and its dead letters."""
-    log = scratch_path(spark, "routed-log")
-    overwrite_table(s.engagement_messages(spark, sf), log)
+    log = s.message_log(spark, sf, "routed")
     outputs = {name: scratch_path(spark, f"routed-{name}") for name in ("valid", "rejected")}
     stream = parse_messages(table_stream(spark, log, read_table(spark, log).schema), EVENT_SCHEMA)
     run_available(start_routed(stream, outputs, scratch_path(spark, "routed-state"), route_events, every=None))
@@ -97,8 +95,7 @@ def rejects_routed(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Shares arrive twice; state keyed by event keeps the first."""
-    log = scratch_path(spark, "dedup-log")
-    overwrite_table(s.engagement_messages(spark, sf), log)
+    log = s.message_log(spark, sf, "dedup")
     stream = clean_events(parse_messages(table_stream(spark, log, read_table(spark, log).schema), EVENT_SCHEMA))
     unique = first_of_each(stream, ["event_id"], "event_ts")
     return run_to_table(unique, "dedup").select("event_id", "event_type", "user_id", "event_ts")

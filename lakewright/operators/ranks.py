@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.skew import salted_join
 
-BUCKETS = 1000
+BUCKETS = 512
 
 
 def _cut_points(df: DataFrame, by: str, buckets: int) -> list[float]:
     """Roughly even cut points of a numeric column. Starts one job; at most ``buckets`` numbers come back."""
     shares = [i / buckets for i in range(1, buckets)]
-    points = df.select(F.col(by).cast("double").alias(by)).approxQuantile(by, shares, 1 / (4 * buckets))
+    points = df.select(F.col(by).cast("double").alias(by)).approxQuantile(by, shares, 1 / (2 * buckets))
     return sorted(set(points))
 
 
@@ -26,33 +26,40 @@ def _bucketed(df: DataFrame, by: str, points: list[float]) -> DataFrame:
     return edges.transform(df.withColumn("_key", F.col(by).cast("double"))).drop("_key")
 
 
-def value_positions(df: DataFrame, by: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """One row per distinct value: its count ``n`` and the number of rows ``ahead`` of it.
+def _ranged_counts(df: DataFrame, by: str, descending: bool, buckets: int) -> DataFrame:
+    """Distinct values with their count ``n``, range, and the range's size and number of rows ahead of it.
 
-    Values are counted first, so copies collapse before the shuffle. The counts
-    are cut into even ranges; each range is summed up by itself and shifted by
-    the total of the ranges ahead of it (at most ``buckets`` rows).
+    Values are counted first, so copies collapse before the shuffle; the ranges
+    are summed up over at most ``buckets`` + 1 rows.
     """
     points = _cut_points(df, by, buckets)
     counts = _bucketed(df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")), by, points)
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    ranges = (
         counts.groupBy("_bucket")
-        .agg(F.sum("n").alias("_total"))
-        .withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .select("_bucket", "_offset")
+        .agg(F.sum("n").alias("_size"))
+        .withColumn("_ahead", F.coalesce(F.sum("_size").over(before), F.lit(0)))
     )
+    return counts.join(F.broadcast(ranges), "_bucket")  # one row per range
+
+
+def _positioned(ranged: DataFrame, by: str, descending: bool) -> DataFrame:
+    """Rows ahead of each value: those of the ranges ahead and those inside its own."""
     inside = (
         Window.partitionBy("_bucket")
         .orderBy(F.col(by).desc() if descending else F.col(by).asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        counts.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), "_bucket")  # at most `buckets` rows
-        .select(by, "n", (F.col("_offset") + F.col("_inside")).alias("ahead"))
-    )
+    return ranged.select(by, "n", (F.col("_ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("ahead"))
+
+
+def value_positions(df: DataFrame, by: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
+    """One row per distinct value: its count ``n`` and the number of rows ``ahead`` of it.
+
+    No task sorts more than one range of the distinct values.
+    """
+    return _positioned(_ranged_counts(df, by, descending, buckets), by, descending)
 
 
 def average_rank(df: DataFrame, by: str, rank: str = "avg_rank", descending: bool = True) -> DataFrame:
@@ -61,19 +68,17 @@ def average_rank(df: DataFrame, by: str, rank: str = "avg_rank", descending: boo
     return salted_join(df, ranks, [by], "left").select(*[F.col(f"l.{c}") for c in df.columns], F.col(f"r.{rank}"))
 
 
-def exact_quantile(df: DataFrame, by: str, share: float, name: str = "quantile") -> DataFrame:
-    """One row with the interpolated quantile, from counted values and never a sorted whole."""
-    positions = value_positions(df, by)
+def exact_quantile(df: DataFrame, by: str, share: float, name: str = "quantile", buckets: int = BUCKETS) -> DataFrame:
+    """One row with the interpolated quantile. Only the range that holds it is sorted."""
     total = df.agg(F.count(by).alias("n")).scalar()
     at = (total - 1) * F.lit(share)
     low, high = F.floor(at), F.ceil(at)
+    ranged = _ranged_counts(df, by, False, buckets)
+    near = ranged.filter((F.col("_ahead") <= high) & (low < F.col("_ahead") + F.col("_size")))
+    positions = _positioned(near, by, False)
 
-    def holds(position: Column) -> Column:
-        return (F.col("ahead") <= position) & (position < F.col("ahead") + F.col("n"))
+    def value_at(position: Column) -> Column:
+        holds = (F.col("ahead") <= position) & (position < F.col("ahead") + F.col("n"))
+        return F.max(F.when(holds, F.col(by)))
 
-    return positions.filter(holds(low) | holds(high)).agg(
-        (
-            F.max(F.when(holds(low), F.col(by)))
-            + (F.max(F.when(holds(high), F.col(by))) - F.max(F.when(holds(low), F.col(by)))) * F.max(at - low)
-        ).alias(name)
-    )
+    return positions.agg((value_at(low) + (value_at(high) - value_at(low)) * F.max(at - low)).alias(name))
