@@ -9,7 +9,7 @@ from lakewright.functions.classify import at_least_one
 from lakewright.functions.dates import later_of
 from lakewright.functions.numbers import money
 from lakewright.operators.aggregates import group_counts
-from lakewright.operators.incremental import append_new
+from lakewright.operators.incremental import append_new, new_since
 from lakewright.operators.joins import flag_dates
 from lakewright.operators.projections import rename_contract
 from lakewright.operators.skew import small
@@ -88,6 +88,11 @@ def review_fact(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
     return reviews if target is None else append_new(target, reviews, "review_date")
 
 
+def new_reviews(target: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Reviews after the newest one stored."""
+    return new_since(target, reviews, "review_date")
+
+
 def full_moon_reviews(reviews: DataFrame, moons: DataFrame) -> DataFrame:
     """Reviews marked when they were written the day after a full moon."""
     return flag_dates(

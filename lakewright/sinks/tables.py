@@ -104,6 +104,20 @@ def register_table(
     return spark.table(name)
 
 
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """The newest complete version folder under a root, if there is one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    found = [
+        (entry.getModificationTime(), entry.getPath().getName())
+        for entry in fs.listStatus(folder)
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
+    ]
+    return f"{root}/{max(found)[1]}" if found else None
+
+
 def publish_version(df: DataFrame, root: str, view: str, partition_by: Sequence[str] = ()) -> str:
     """Write a new folder, then point the view at it.
 

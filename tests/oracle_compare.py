@@ -28,7 +28,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value: object) -> object:
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.10g}") + 0.0
+        if math.isnan(value):
+            return "nan"
+        return value + 0.0 if os.environ.get("EXACT") else float(f"{value:.10g}") + 0.0
     return value
 
 
