@@ -31,7 +31,7 @@ def raw_ingest(spark: SparkSession, sf: str) -> DataFrame:
     arrived, stored = scratch_path(spark, "province-csv"), scratch_path(spark, "province-raw")
     s.province_arrival(spark, sf).write.option("header", True).option("nullValue", "").csv(arrived)
     raw = labour.raw_layer(read_raw_csv(spark, arrived), labour.PROVINCE_DROPS, "province.csv", s.FIRST_LOAD)
-    write_verified(raw, stored, ["ingestion_year", "ingestion_month"])
+    write_verified(raw, stored, ["ingestion_year", "ingestion_month"], rebalance=False)
     return read_table(spark, stored, raw.schema).select(
         "REF_DATE", "GEO", "Labour_force_characteristics", "Gender", "Age_group", "Statistics", "VALUE", "STATUS",
         "_ingested_at", "_source_file", "ingestion_year", "ingestion_month",
@@ -97,7 +97,7 @@ def monthly_fact(spark: SparkSession, sf: str) -> DataFrame:
     return monthly(spark, sf)
 
 
-LFS_HISTORY = f"""changes AS (
+SERIES_HISTORY = f"""changes AS (
   SELECT * FROM province WHERE {s.HEADLINE}
   WINDOW w AS (PARTITION BY geo, labour_force_characteristic, gender, age_group ORDER BY ref_date)
   QUALIFY lag(ref_date) OVER w IS NULL OR lag(value) OVER w IS DISTINCT FROM value OR lag(status) OVER w IS DISTINCT FROM status
@@ -116,7 +116,7 @@ def _change(n: int, name: str) -> str:
       round(((value_thousands - {back}) * 100.0 / nullif({back}, 0))::decimal(38,10), 2)::double AS {name}_change_pct"""
 
 
-MART_SQL = f"""WITH {s.PROVINCE_CLEAN},{s.INDUSTRY_CLEAN},{GEO_DIM},{FACT},{LFS_HISTORY},
+MART_SQL = f"""WITH {s.PROVINCE_CLEAN},{s.INDUSTRY_CLEAN},{GEO_DIM},{FACT},{SERIES_HISTORY},
 trends AS (
   SELECT *, {_change(1, 'mom')}, {_change(12, 'yoy')},
          (sum(value_thousands::decimal(18,2)) OVER r)::double / count(value_thousands) OVER r AS rolling_3m_avg_thousands

@@ -74,7 +74,7 @@ def build_labour(
     for name, (path, drops, names, key) in shapes.items():
         raw = labour.raw_layer(read_raw_csv(spark, path), drops, path, loaded_at)
         raw_path, clean_path = tables.at(f"raw/{name}"), tables.at(f"clean/{name}")
-        write_verified(raw, raw_path, ["ingestion_year", "ingestion_month"])
+        write_verified(raw, raw_path, ["ingestion_year", "ingestion_month"], rebalance=False)
         stored = read_table(spark, raw_path, raw.schema)
         rows = labour.clean_layer(stored, names, key)
         write_verified(rows, clean_path, ["ref_year", "ref_month"])

@@ -28,10 +28,10 @@ def same_columns(left: StructType, right: StructType) -> bool:
     return {f.name: f.dataType for f in left} == {f.name: f.dataType for f in right}
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str], max_rows_per_file: int | None):
+def _writer(df: DataFrame, partition_by: Sequence[str], max_rows_per_file: int | None, rebalance: bool = True):
     # rebalancing brings each partition's rows together and AQE splits the big ones,
     # so the table gets neither one file per task and partition nor one giant task
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write
+    writer = (df.hint("rebalance", *partition_by) if partition_by and rebalance else df).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_rows_per_file:
@@ -45,14 +45,19 @@ def overwrite_table(
     partition_by: Sequence[str] = (),
     evolve: bool = False,
     max_rows_per_file: int | None = None,
+    rebalance: bool = True,
 ) -> None:
-    """Replace a whole table. A different schema is refused unless ``evolve``."""
+    """Replace a whole table. A different schema is refused unless ``evolve``.
+
+    ``rebalance=False`` saves the shuffle where a task's rows fall into few
+    partitions anyway, as when one load is written under its load date.
+    """
     spark = df.sparkSession
     if not evolve and table_exists(spark, path):
         existing = read_table(spark, path).schema
         if {f.name for f in existing} != {f.name for f in df.schema}:
             raise SchemaMismatch(f"{path} has columns {sorted(existing.names)}, frame has {sorted(df.columns)}")
-    writer = _writer(df, partition_by, max_rows_per_file)
+    writer = _writer(df, partition_by, max_rows_per_file, rebalance)
     writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
@@ -66,7 +71,9 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _writer(df, partition_by, None).mode("append").parquet(path)
 
 
-def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = (), evolve: bool = False) -> int:
+def write_verified(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), evolve: bool = False, rebalance: bool = True
+) -> int:
     """Overwrite, count the rows on their way out, compare with the table read back.
 
     The written count is observed inside the write job and the read-back count
@@ -74,7 +81,7 @@ def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = (), e
     """
     spark = df.sparkSession
     seen = Observation()
-    overwrite_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by, evolve)
+    overwrite_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by, evolve, rebalance=rebalance)
     written, stored = seen.get["rows"], read_table(spark, path).count()
     if written != stored:
         raise WriteMismatch(f"{path}: wrote {written} rows, read back {stored}")
