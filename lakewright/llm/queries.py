@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import twins
+from lakewright.llm import sentencepiece_codec, twins
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.sharding import feistel_shards
 from lakewright.llm.tables import table
@@ -40,6 +40,26 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model() -> bytes:
+    """The public model that the coding queries use."""
+    import public_tokenizers
+
+    return sentencepiece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of their decoding."""
+    model = piece_model()
+    coded = sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text")
+    decoded = sentencepiece_codec.decode(coded, model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate of its source."""
     return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
@@ -53,6 +73,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op5_feistel_shards": op5_feistel_shards,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
 }
