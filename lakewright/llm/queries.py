@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakewright.llm import sentencepiece_codec, twins
 from lakewright.llm.line_dedup import drop_boilerplate
+from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
 from lakewright.llm.tables import table
 from lakewright.llm.url_filter import filter_urls, rule_frame
@@ -25,6 +26,11 @@ URL_RULES = [
 ]
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents at a similarity of 0.85."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt into 24 shards whose counts are at most one apart."""
     text = F.coalesce("text", F.lit(""))
@@ -72,6 +78,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_near_dedup": op4_near_dedup,
     "op5_feistel_shards": op5_feistel_shards,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
@@ -79,6 +86,7 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_near_dedup": twins.NEAR_DEDUP,
     "op5_feistel_shards": twins.shards(SHARDS),
     "op8_line_dedup": twins.LINE_DEDUP,
     "op9_url_filter": twins.urls(URL_RULES),

@@ -30,6 +30,32 @@ FROM cleaned
 """
 
 
+NEAR_DEDUP = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) END AS s FROM words
+), told AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled
+), numbered AS (
+  SELECT doc_id, n, shingle_no FROM told JOIN (
+    SELECT shingle, row_number() OVER () AS shingle_no FROM told GROUP BY shingle HAVING count(*) > 1
+  ) USING (shingle)
+), linked AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM numbered a JOIN numbered b ON a.shingle_no = b.shingle_no AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM shingled JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON doc_id = a
+"""
+
+
 def urls(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
     return f"""
