@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.llm import sentencepiece_codec, twins
+from lakewright.llm.decontamination import contaminated
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
@@ -26,6 +27,11 @@ URL_RULES = [
 ]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark passage, with the passage."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -78,6 +84,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op5_feistel_shards": op5_feistel_shards,
     "op7_sentencepiece": op7_sentencepiece,
@@ -86,6 +93,7 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_decontamination": twins.DECONTAMINATION,
     "op4_near_dedup": twins.NEAR_DEDUP,
     "op5_feistel_shards": twins.shards(SHARDS),
     "op8_line_dedup": twins.LINE_DEDUP,

@@ -30,6 +30,37 @@ FROM cleaned
 """
 
 
+DECONTAMINATION = """
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w FROM documents
+), items AS (
+  SELECT w AS item, min(item_id) AS item_id, count(*) AS n_items FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w FROM benchmark
+  ) WHERE len(w) >= 8 GROUP BY w
+), item_seeds AS (
+  SELECT item_id, p - 1 AS j, unnest([[item[p], item[p+1], item[p+2], '', item[p+4], item[p+6], item[p+7]],
+    [item[p], item[p+1], '', '', item[p+4], item[p+5], item[p+6], item[p+7]]]) AS seed
+  FROM (SELECT *, unnest(range(1, len(item) - 6)) AS p FROM items)
+), doc_seeds AS (
+  SELECT doc_id, w, p - 1 AS i, unnest([[w[p], w[p+1], w[p+2], '', w[p+4], w[p+6], w[p+7]],
+    [w[p], w[p+1], '', '', w[p+4], w[p+5], w[p+6], w[p+7]]]) AS seed
+  FROM (SELECT *, unnest(range(1, len(w) - 6)) AS p FROM docs)
+), aligned AS (
+  SELECT DISTINCT doc_id, item_id, i - j AS start, w FROM doc_seeds JOIN item_seeds USING (seed)
+), matched AS (
+  SELECT doc_id, a.item_id, n_items, len(item) AS item_tokens, start, list_transform(range(1, len(item) + 1), lambda k:
+    CASE WHEN start + k >= 1 AND start + k <= len(w) AND w[start + k] = item[k] THEN 1 ELSE 0 END) AS m
+  FROM aligned a JOIN items USING (item_id)
+), judged AS (
+  SELECT *, list_sum(m) AS matched, least(len(m), 13) AS width FROM matched
+)
+SELECT doc_id, item_id, n_items, item_tokens::INTEGER AS item_tokens, max(matched)::INTEGER AS matched,
+  arg_max(start, matched * 1000000 - start)::INTEGER AS start
+FROM judged
+WHERE list_bool_or(list_transform(range(0, len(m) - width + 1), lambda s: list_sum(m[s + 1:s + width]) >= width - floor(width * 2 / 13)))
+GROUP BY doc_id, item_id, n_items, item_tokens
+"""
+
 NEAR_DEDUP = """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
