@@ -21,6 +21,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -28,7 +29,7 @@ SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 NO_RANK = np.iinfo(np.int32).max
 #: Characters worked on at a time, and distinct words whose ids a task remembers.
-CHARS, REMEMBERED = 4_000_000, 400_000
+CHARS, REMEMBERED = 1_000_000, 150_000
 
 codecs.register_error("replace_each_byte", lambda error: ("�", error.start + 1))
 
@@ -247,8 +248,8 @@ def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     yield from zip([0, *edges], [*edges, len(sizes)])
 
 
-def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    kept = [i for i, n in enumerate(batch.schema.names) if n != name]
+def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array, without: tuple[str, ...] = ()) -> pa.RecordBatch:
+    kept = [i for i, n in enumerate(batch.schema.names) if n != name and n not in without]
     return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), values], [*(batch.schema.names[i] for i in kept), name])
 
 
@@ -256,25 +257,28 @@ def _schema_with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", end: bool = True) -> DataFrame:
+def encode(
+    df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", end: bool = True, keep_text: bool = True
+) -> DataFrame:
     """``df`` with ``ids``, the library's ids of each whole ``text``, by default with an end id.
 
     Null and empty texts have no ids but the end id. Rows stay one for one; a column
-    named like ``ids`` is replaced. A task holds a few megabytes of text at a time, so
+    named like ``ids`` is replaced; ``text`` is left out on demand. A task holds a few megabytes of text at a time, so
     its memory is bounded by the longest single text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
         for whole in batches:
-            texts = whole.column(whole.schema.get_field_index(text)).to_pylist()
-            for lo, hi in _slices(np.array([len(t or "") + 1 for t in texts], np.int64), CHARS):
-                flat, counts = codec.encode(texts[lo:hi], end)
+            texts = whole.column(whole.schema.get_field_index(text))
+            for lo, hi in _slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) + 1, CHARS):
+                flat, counts = codec.encode(texts.slice(lo, hi - lo).to_pylist(), end)
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-                yield _with_column(whole.slice(lo, hi - lo), ids, lists)
+                yield _with_column(whole.slice(lo, hi - lo), ids, lists, () if keep_text else (text,))
 
-    return df.mapInArrow(run, _schema_with(df, ids, T.ArrayType(T.IntegerType())))
+    kept = df if keep_text else df.drop(text)
+    return df.mapInArrow(run, _schema_with(kept, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -288,7 +292,7 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
         codec = codec_of(model)
         for whole in batches:
             lists = whole.column(whole.schema.get_field_index(ids))
-            sizes = np.array([n or 0 for n in lists.value_lengths().to_pylist()], np.int64)
+            sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi in _slices(sizes + 1, CHARS):
                 part = lists.slice(lo, hi - lo)
                 texts = codec.decode(part.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes[lo:hi])
