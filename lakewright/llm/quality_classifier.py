@@ -201,7 +201,7 @@ def train(pooled: np.ndarray, labels: np.ndarray, seed: int) -> Network:
 
 def fitted_temperature(logits: np.ndarray, labels: np.ndarray, prior: float) -> float:
     """The temperature with the least log loss, by a scan of its logarithm."""
-    temperatures = np.exp(np.linspace(np.log(0.25), np.log(20), 120))
+    temperatures = np.exp(np.linspace(0, np.log(20), 120))
     odds = prior + (logits - prior)[None, :] / temperatures[:, None]
     z = np.where(labels == 1, odds, -odds)
     return float(temperatures[np.argmin(np.logaddexp(0, -z).mean(axis=1))])

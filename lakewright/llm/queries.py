@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import sentencepiece_codec, twins
+from lakewright.llm import quality_classifier, sentencepiece_codec, twins
 from lakewright.llm.decontamination import contaminated
+from lakewright.llm.embedding_dedup import near_duplicate_vectors
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
@@ -27,6 +28,19 @@ URL_RULES = [
 ]
 
 
+KEPT_SCORE = 0.7
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= KEPT_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark passage, with the passage."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,7 +76,7 @@ def piece_model() -> bytes:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of their decoding."""
     model = piece_model()
-    coded = sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text")
+    coded = sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, keep_text=False)
     decoded = sentencepiece_codec.decode(coded, model)
     return decoded.select(
         "doc_id",
@@ -83,13 +97,20 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of at least 0.98 within their label."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op5_feistel_shards": op5_feistel_shards,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -98,4 +119,5 @@ SQL: dict[str, str] = {
     "op5_feistel_shards": twins.shards(SHARDS),
     "op8_line_dedup": twins.LINE_DEDUP,
     "op9_url_filter": twins.urls(URL_RULES),
+    "op10_embedding_dedup": twins.EMBEDDING_DEDUP,
 }

@@ -87,6 +87,27 @@ FROM shingled JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON d
 """
 
 
+EMBEDDING_DEDUP = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), told AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM linked WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN told ON vec_id = a
+"""
+
+
 def urls(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
     return f"""
