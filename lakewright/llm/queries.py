@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.llm import quality_classifier, sentencepiece_codec, twins
 from lakewright.llm.decontamination import contaminated
 from lakewright.llm.embedding_dedup import near_duplicate_vectors
+from lakewright.llm.license_scan import scan
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
@@ -46,6 +47,24 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every document names or grants."""
+    scanned = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("detections", lambda d: d["base"])
+    kept = F.filter("detections", lambda d: d["kept"])
+
+    def joined(found: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda d: d["label"]))), ",")
+
+    starts = F.transform(base, lambda d: d["word"].cast("long"))
+    return scanned.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(kept).alias("labels"),
+        (F.coalesce(F.array_max(F.transform(kept, lambda d: d["priority"])), F.lit(0)) / 100).alias("score"),
+    )
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -105,6 +124,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
+    "op3_license_scan": op3_license_scan,
     "op4_near_dedup": op4_near_dedup,
     "op5_feistel_shards": op5_feistel_shards,
     "op7_sentencepiece": op7_sentencepiece,
