@@ -15,6 +15,7 @@ from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
 from lakewright.llm.tables import table
+from lakewright.llm.token_counts import count_tokens, read_ranks
 from lakewright.llm.url_filter import filter_urls, rule_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,14 @@ def piece_model() -> bytes:
     return sentencepiece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy piece counts of every document under a public byte-level vocabulary."""
+    import public_tokenizers
+
+    tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokens)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of their decoding."""
     model = piece_model()
@@ -127,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
     "op4_near_dedup": op4_near_dedup,
     "op5_feistel_shards": op5_feistel_shards,
+    "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
