@@ -199,7 +199,7 @@ def sha256_key(spark: SparkSession, sf: str) -> DataFrame:
 )
 def md5_key(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return table(spark, sf, "lineitem").select(*columns, keys.hash_key(columns, "md5", "-").alias("fact_key"))
+    return table(spark, sf, "lineitem").select(*columns, keys.hash_key(columns, "md5", "-", plain=True).alias("fact_key"))
 
 
 @query("fn_18_json_parse", "SELECT event_id, CASE WHEN event_type <> 'error' THEN regexp_extract(props, '([0-9]+)', 1)::integer END AS k FROM events")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakewright.catalog import standins as s
 from lakewright.catalog.base import query, table
+from lakewright.catalog.streams import stored_stream
 from lakewright.functions.keys import hash_key
 from lakewright.operators.history import prepare_versions
 from lakewright.operators.incremental import new_since
@@ -87,7 +88,7 @@ def appended(spark: SparkSession, sf: str) -> DataFrame:
 def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
     events = table(spark, sf, "events")
-    stream = table_stream(spark, sf, events.schema, glob="events.parquet").drop("props")
+    stream = stored_stream(spark, sf, "events").drop("props")
     run_available(start_append(stream, out, checkpoint, every=None))
     return read_table(spark, out)
 

@@ -19,10 +19,18 @@ from lakewright.streaming.features import content_features, user_features
 from lakewright.streaming.ingest import parse_messages, run_available, start_append
 
 
+def stored_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table, one file or a folder of files, as a stream; in one trigger, as its files follow no order of time."""
+    stored = table(spark, sf, name)
+    in_folder = any(file.rsplit("/", 2)[-2] == f"{name}.parquet" for file in stored.inputFiles()[:1])
+    if in_folder:
+        return table_stream(spark, f"{sf}/{name}.parquet", stored.schema, max_files=None)
+    return table_stream(spark, sf, stored.schema, max_files=None, glob=f"{name}.parquet")
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream; event time as an instant, as watermarks need."""
-    schema = table(spark, sf, "events").schema
-    stream = table_stream(spark, sf, schema, glob="events.parquet")
+    stream = stored_stream(spark, sf, "events")
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -96,7 +104,7 @@ def rejects_routed(spark: SparkSession, sf: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Shares arrive twice; state keyed by event keeps the first."""
     log = s.message_log(spark, sf, "dedup")
-    stream = clean_events(parse_messages(table_stream(spark, log, read_table(spark, log).schema), EVENT_SCHEMA))
+    stream = clean_events(parse_messages(table_stream(spark, log, read_table(spark, log).schema, max_files=None), EVENT_SCHEMA))
     unique = first_of_each(stream, ["event_id"], "event_ts")
     return run_to_table(unique, "dedup").select("event_id", "event_type", "user_id", "event_ts")
 
@@ -152,10 +160,10 @@ def restart(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT event_type, count(*) AS n_rows, sum(value::decimal(18,2))::double AS total FROM events GROUP BY 1""",
 )
 def bounded_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """One file per trigger, so a batch holds a bounded number of rows however long the log is."""
+    """One file per trigger, and files of a bounded number of rows, however long the log is."""
     log = scratch_path(spark, "bounded-log")
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    events.repartition(4, "event_id").write.parquet(log)
+    events.write.option("maxRecordsPerFile", 20_000).parquet(log)
     stored = run_to_table(table_stream(spark, log, events.schema, max_files=1), "bounded")
     return stored.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")

@@ -1,4 +1,4 @@
-"""Numbers: dirty text, exact sums, ratios and scores."""
+"""Numbers: dirty text, rounding, ratios and scores."""
 
 from __future__ import annotations
 
@@ -26,14 +26,11 @@ def scaled(value: Column, factor: int = 1000) -> Column:
     return F.round(value * F.lit(factor), 0)
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum that does not depend on row order: added as decimal, given back as double."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
-
-
 def rounded(value: Column, digits: int) -> Column:
     """Round half away from zero on the decimal the number prints as."""
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    number = value.cast("double")
+    # ten places first, so that 0.15 as a sum of parts rounds as 0.15 does
+    return F.round(F.round(number, max(digits, 10)), digits)
 
 
 def percent_change(new: Column, old: Column) -> Column:

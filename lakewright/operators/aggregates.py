@@ -71,7 +71,7 @@ def dirty_number_stats(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         F.min(number).alias("min_value"),
         F.max(number).alias("max_value"),
-        F.try_divide(F.sum(number.cast("decimal(18,4)")).cast("double"), F.count(number)).alias("mean_value"),
+        F.avg(number).alias("mean_value"),
         F.count_if(number.isNull()).alias("null_count"),
     )
 
@@ -84,14 +84,20 @@ def top_values(df: DataFrame, column: str, n: int = 15) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Rows per equal-width bin between the smallest and largest value; the last bin is closed.
 
-    Only bins with rows appear. The bounds are scalar subqueries of the same plan.
+    Only bins with rows appear. The bounds are scalar subqueries of the same plan. NULL,
+    NaN and infinities are in no bin; a column with one value has bin 0 alone, from the
+    value to itself.
     """
+    kind = df.schema[column].dataType.typeName()
+    if kind in ("double", "float"):
+        df = df.filter(~F.isnan(column) & (F.abs(column) < F.lit(float("inf"))))
     bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
     low = bounds.select("lo").scalar()
     high = bounds.select("hi").scalar()
     value = F.col(column)
     width = (high - low) / F.lit(bins)
-    bin_no = F.coalesce(F.least(F.floor(F.try_divide(value - low, width)), F.lit(bins - 1)), F.lit(0)).cast("int")
+    place = F.floor(F.try_divide(value - low, width))
+    bin_no = F.when(high == low, F.lit(0)).otherwise(F.least(place, F.lit(bins - 1))).cast("int")
     return (
         df.filter(value.isNotNull())
         .groupBy(bin_no.alias("bin"))

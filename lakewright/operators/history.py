@@ -39,7 +39,9 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
 
     ``incoming`` has the dimension's columns (see ``prepare_versions``) and one
     row per key. Tags: ``history``, ``kept``, ``expired``, ``replaced`` (changed
-    again on the day it was opened), ``new_version``, ``new_entity``.
+    again on the day it was opened), ``new_version``, ``new_entity``. A batch that would
+    change a version opened after ``as_of`` stops the job: load batches in order of
+    their days, or rebuild the history with ``scd2_from_log``.
     """
     names = dim.columns
     opened = dim.filter("is_current").alias("o")
@@ -49,7 +51,7 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
 
     has_old, has_new = F.col("o.is_current").isNotNull(), F.col("n._arrived").isNotNull()
     differs = any_differs("o", "n", tracked)
-    same_day = F.col("o.effective_date") >= day
+    same_day = F.col("o.effective_date") == day
 
     def row(side: str, tag: Column, **changes: Column) -> Column:
         return F.struct(
@@ -57,6 +59,10 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
         )
 
     changed = has_old & has_new & differs
+    late = changed & (F.col("o.effective_date") > day)
+    refused = F.raise_error(F.concat(F.lit("late batch: a version is open since "), F.col("o.effective_date").cast("string")))
+    # in the date and not in the tag, which callers may drop
+    opened_on = F.when(late, refused.cast("date")).otherwise(F.col("n.effective_date"))
     expired = row("o", F.lit("expired"), end_date=F.date_sub(day, 1), is_current=F.lit(False))
     kept = row("o", F.lit("kept"))
     first_seen = F.when(F.col("n._known"), F.lit("new_version")).otherwise(F.lit("new_entity"))
@@ -64,7 +70,7 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
     versions = F.array_compact(
         F.array(
             F.when(changed & ~same_day, expired).when(has_old & ~changed, kept),
-            F.when(has_new & (changed | ~has_old), row("n", new_tag)),
+            F.when(has_new & (changed | ~has_old), row("n", new_tag, effective_date=opened_on)),
         )
     )
     moved = (
@@ -165,15 +171,15 @@ def snapshot(
 
     A row whose ``updated_at`` moved on is closed at the new time and opened
     again; a key that left the source is closed at ``as_of`` (or left open with
-    ``hard_deletes='ignore'``); closed rows pass through.
+    ``hard_deletes='ignore'``); closed rows pass through. NULL is a key like others.
     """
     if hard_deletes not in ("invalidate", "ignore"):
         raise ValueError(f"unknown hard_deletes '{hard_deletes}'")
     names = current.columns
     at_type = current.schema["valid_to"].dataType
-    opened = current.filter("valid_to IS NULL").alias("o")
+    opened = current.filter("valid_to IS NULL").withColumn("_open", F.lit(True)).alias("o")
     seen = snapshot_start(source, key, updated_at).withColumn("_seen", F.lit(True)).alias("n")
-    has_old, has_new = F.col(f"o.{key}").isNotNull(), F.col("n._seen").isNotNull()
+    has_old, has_new = F.col("o._open").isNotNull(), F.col("n._seen").isNotNull()
     newer = has_old & has_new & (F.col(f"n.{updated_at}") > F.col("o.valid_from"))
     gone = has_old & ~has_new if hard_deletes == "invalidate" else F.lit(False)
     closing = F.when(newer, F.col(f"n.{updated_at}")).when(gone, moment(as_of, at_type))
@@ -188,7 +194,7 @@ def snapshot(
         )
     )
     moved = (
-        opened.join(seen, F.col(f"o.{key}") == F.col(f"n.{key}"), "full")
+        opened.join(seen, F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")), "full")
         .select(F.explode(rows).alias("_v"))
         .select("_v.*")
     )

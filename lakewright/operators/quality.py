@@ -86,7 +86,8 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
         return rows.filter(bad_rows(check)).withColumn("reason", F.lit(check.name))
     if check.kind in ("unique", "no_duplicates"):
         keys = list(check.needs)
-        return repeated_keys(rows.na.drop(subset=keys), keys).withColumn("reason", F.lit(check.name))
+        # NULL keys repeat one another in a primary key, but not under a unique rule
+        return repeated_keys(rows.na.drop(subset=keys) if check.kind == "unique" else rows, keys).withColumn("reason", F.lit(check.name))
     raise ValueError(f"'{check.kind}' does not judge single rows")
 
 
@@ -115,7 +116,7 @@ def _column_rules(check: Check, keep: Column, as_of: datetime | None) -> tuple[C
         return total.cast("double"), total >= F.lit(args["min"]), none
     value = F.when(keep, F.col(check.column)) if check.column else None
     if kind == "mean_between":
-        mean = F.try_divide(F.sum(value.cast("decimal(18,4)")).cast("double"), F.count(value))
+        mean = F.avg(value).cast("double")
         return mean, _within(mean, args.get("low"), args.get("high")), none
     if kind == "max_between":
         top = F.max(value).cast("double")
@@ -167,7 +168,9 @@ def _grouped(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     there = other.agg(F.count(F.lit(1)).alias("n")).scalar()
     here = F.count(F.lit(1))
     passed = here == F.max(there) if check.kind == "same_count" else here >= F.max(there)
-    return df.agg(here.cast("double").alias("observed"), passed.alias("passed"), F.abs(here - F.max(there)).alias("failing"))
+    missing = F.max(there) - here
+    failing = F.abs(missing) if check.kind == "same_count" else F.greatest(missing, none)
+    return df.agg(here.cast("double").alias("observed"), passed.alias("passed"), failing.alias("failing"))
 
 
 def _status(check: Check, passed: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ def _cut_points(df: DataFrame, by: str, buckets: int) -> list[float]:
     """Roughly even cut points of a numeric column. Starts one job; at most ``buckets`` numbers come back."""
     shares = [i / buckets for i in range(1, buckets)]
     points = df.select(F.col(by).cast("double").alias(by)).approxQuantile(by, shares, 1 / (2 * buckets))
-    return sorted(set(points))
+    # infinities and NaN fall into the outermost ranges by themselves
+    return sorted({p for p in points if math.isfinite(p)})
 
 
 def _bucketed(df: DataFrame, by: str, points: list[float]) -> DataFrame:

@@ -45,7 +45,6 @@ def trend_metrics(
     shuffle and one sort.
     """
     series = Window.partitionBy(*keys)
-    exact = F.col(value).cast("decimal(18,2)")
     if mode == "rows":
         ordered = series.orderBy(time)
         recent = ordered.rowsBetween(1 - rolling, Window.currentRow)
@@ -70,6 +69,7 @@ def trend_metrics(
     for name, n in lags.items():
         metrics[f"{name}_change"] = cut(F.col(value) - back(n), change_digits)
         metrics[f"{name}_change_pct"] = cut(percent_change(F.col(value), back(n)), percent_digits)
-    mean = F.try_divide(F.sum(exact).over(recent).cast("double"), F.count(value).over(recent))
+    # at most ``rolling`` values in a fixed order, added in the column's own type
+    mean = F.avg(value).over(recent).cast("double")
     metrics[f"rolling_{rolling}_avg"] = cut(mean, rolling_digits)
     return df.withColumns(metrics)

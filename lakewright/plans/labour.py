@@ -127,7 +127,7 @@ def geo_dimension(province: DataFrame) -> DataFrame:
     """One row per geography with key, level and region."""
     geos = province.select("geo", "dguid").distinct()
     return geos.select(
-        hash_key(["dguid", "geo"], "md5", "-").alias("geo_key"),
+        hash_key(["dguid", "geo"], "md5", "-", plain=True).alias("geo_key"),
         F.col("geo").alias("geo_name"),
         "dguid",
         geo_level(F.col("geo")).alias("geo_level"),
@@ -143,7 +143,7 @@ def monthly_fact(province: DataFrame, industry: DataFrame) -> DataFrame:
     values = province.filter(F.col("age_group") == ALL_AGES)
     joined = enrich(values, totals, {"ref_date": "i_date", "geo": "i_geo"}, {"i_value": "industry_total_thousands"})
     return joined.select(
-        hash_key(["ref_date", "geo", "labour_force_characteristic", "gender", "age_group"], "md5", "-").alias("fact_key"),
+        hash_key(["ref_date", "geo", "labour_force_characteristic", "gender", "age_group"], "md5", "-", plain=True).alias("fact_key"),
         "ref_date",
         "ref_year",
         "ref_month",

@@ -28,6 +28,14 @@ def same_columns(left: StructType, right: StructType) -> bool:
     return {f.name: f.dataType for f in left} == {f.name: f.dataType for f in right}
 
 
+def _refuse_other_columns(df: DataFrame, existing: StructType, path: str, partition_by: Sequence[str]) -> None:
+    def compared(schema: StructType) -> StructType:
+        return StructType([f for f in schema if f.name not in partition_by])
+
+    if set(existing.names) != set(df.columns) or not same_columns(compared(existing), compared(df.schema)):
+        raise SchemaMismatch(f"{path} has {existing.simpleString()}, frame has {df.schema.simpleString()}")
+
+
 def _writer(df: DataFrame, partition_by: Sequence[str], max_rows_per_file: int | None, rebalance: bool = True):
     # rebalancing brings each partition's rows together and AQE splits the big ones,
     # so the table gets neither one file per task and partition nor one giant task
@@ -47,16 +55,16 @@ def overwrite_table(
     max_rows_per_file: int | None = None,
     rebalance: bool = True,
 ) -> None:
-    """Replace a whole table. A different schema is refused unless ``evolve``.
+    """Replace a whole table. Other columns or types are refused unless ``evolve``.
+
+    The types of partition columns are read from folder names and not compared.
 
     ``rebalance=False`` saves the shuffle where a task's rows fall into few
     partitions anyway, as when one load is written under its load date.
     """
     spark = df.sparkSession
     if not evolve and table_exists(spark, path):
-        existing = read_table(spark, path).schema
-        if {f.name for f in existing} != {f.name for f in df.schema}:
-            raise SchemaMismatch(f"{path} has columns {sorted(existing.names)}, frame has {sorted(df.columns)}")
+        _refuse_other_columns(df, read_table(spark, path).schema, path, partition_by)
     writer = _writer(df, partition_by, max_rows_per_file, rebalance)
     writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
@@ -68,6 +76,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to a table, or start it. Other columns or types are refused."""
+    if table_exists(df.sparkSession, path):
+        _refuse_other_columns(df, read_table(df.sparkSession, path).schema, path, partition_by)
     _writer(df, partition_by, None).mode("append").parquet(path)
 
 

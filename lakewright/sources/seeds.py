@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,11 @@ def full_moons(spark: SparkSession, first: date, last: date) -> DataFrame:
 
 
 def yearly_holidays(spark: SparkSession, first: date, last: date, month_days: list[tuple[int, int]]) -> DataFrame:
-    """The given (month, day) holidays of every year in the span."""
+    """The given (month, day) holidays of every year in the span that has the day."""
     days = [
         (date(year, month, day),)
         for year in range(first.year, last.year + 1)
         for month, day in month_days
-        if first <= date(year, month, day) <= last
+        if day <= monthrange(year, month)[1] and first <= date(year, month, day) <= last
     ]
     return spark.createDataFrame(days, StructType([StructField("holiday_date", DateType(), False)]))

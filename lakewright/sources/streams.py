@@ -38,11 +38,18 @@ def table_stream(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    max_files: int = 10,
+    max_files: int | None = 10,
     glob: str | None = None,
 ) -> DataFrame:
-    """Stream of the files that land in a table folder, ``max_files`` per trigger."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    """Stream of the files that land in a table folder, ``max_files`` per trigger.
+
+    Files are taken in the order in which they landed. Where event times follow no such
+    order, as in a replay of a stored table, a watermark would refuse what comes in a
+    later trigger than newer rows; ``max_files=None`` takes all files in one.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)

@@ -45,6 +45,17 @@ def start_append(
     return writer.start()
 
 
-def run_available(query: StreamingQuery) -> None:
-    """Wait for an available-now query and surface its failure."""
+class RowsRefused(RuntimeError):
+    """A watermark refused rows as too late."""
+
+
+def refused_rows(query: StreamingQuery) -> int:
+    """Rows that stateful operators have refused as older than the watermark, over the triggers still recorded."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_available(query: StreamingQuery, may_refuse: bool = False) -> None:
+    """Wait for an available-now query and surface its failure, and rows that a watermark refused."""
     query.awaitTermination()
+    if not may_refuse and (refused := refused_rows(query)):
+        raise RowsRefused(f"{refused} rows were older than the watermark; replay in order of event time or in one trigger")
