@@ -26,6 +26,7 @@ HEADLINE = [
     "prj_07_struct_flatten",
     "jon_03_point_in_time",
     "jon_03_point_in_time_salted",
+    "jon_03_point_in_time_monthly",
     "jon_09_shifted_date",
     "agg_03_conditional_counts",
     "agg_12_exact_quantile",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.catalog import standins as s
@@ -118,15 +118,17 @@ def absent_inserted(spark: SparkSession, sf: str) -> DataFrame:
     return insert_if_absent(stored, batch.unionByName(batch), ["event_id"], "user_id", ["event_type"])
 
 
-# A customer row is as of the last order; customers without a late order leave the second look.
+# A customer row is as of the last order. The second look is at all orders; a customer whose last order is finished has left by then.
 SNAPSHOT_SQL = """
 first_look AS (
   SELECT o_custkey, o_orderpriority, o_orderdate AS updated_at FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
 ),
 second_look AS (
-  SELECT o_custkey, o_orderpriority, o_orderdate AS updated_at FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate < TIMESTAMP '2000-01-01'
-  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+  SELECT o_custkey, o_orderpriority, updated_at FROM (
+    SELECT o_custkey, o_orderpriority, o_orderstatus, o_orderdate AS updated_at FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+  ) WHERE o_orderstatus <> 'F'
 ),
 versions AS (
   SELECT o.o_custkey, o.o_orderpriority, o.updated_at, o.updated_at AS valid_from,
@@ -143,14 +145,11 @@ def _looks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     columns = ["o_custkey", "o_orderpriority", F.col("o_orderdate").alias("updated_at")]
 
     def newest(rows: DataFrame) -> DataFrame:
-        return keep_latest(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"]).select(*columns)
-
-    def before(day: str) -> Column:
-        return F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz")
+        return keep_latest(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
-    first = newest(orders.filter(before("1999-01-01")))
-    second = newest(orders.filter((F.col("o_orderstatus") != "F") & before("2000-01-01")))
-    return first, second
+    first = newest(orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    second = newest(orders).filter(F.col("o_orderstatus") != "F")
+    return first.select(*columns), second.select(*columns)
 
 
 def _snapshot(spark: SparkSession, sf: str, hard_deletes: str) -> DataFrame:
