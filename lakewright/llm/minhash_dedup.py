@@ -4,18 +4,22 @@ Each text is the set of its distinct word shingles. Texts with equal sets form o
 class; all that follows works on classes, so copies cost one row each. A class is
 embedded as a signature of ``SIGNATURE`` minwise tokens. In each of several independent
 trees, classes are dealt into nodes by one minwise token; a node with more than ``LEAF``
-classes is branched again by ``BRANCHES`` further tokens, drawn by the node's own
-path, at most ``DEPTH`` times. The classes of small nodes are compared exhaustively.
-
-Links are needed for components only, and exact. So in every node each class is first
-compared with the node's smallest one, on full sets; what that joins needs no further
-comparison, so a group of thousands of near copies takes one comparison per member and
-not one per pair. Then those pairs of a node that still lie in different components are
-compared, in nodes that stayed large too: there, what is not in the component of the
-node's first class is compared, in blocks, with all of the node.
-
-A pair at the threshold meets in a given tree with probability at least
-t * (1 - (1 - t) ** BRANCHES) ** DEPTH; ``trees`` follows from that and the recall.
+classes is branched again, at most ``DEPTH`` times, by ``BRANCHES`` choices of ``STEP``
+further tokens, drawn by the node's own path. Small nodes are compared exhaustively.
+
+Links are needed for components only, and exact. So in every root each class is first
+compared with the root's smallest, and a node whose classes are all in one component
+needs no further comparison: a group of thousands of near copies takes about one
+comparison per member and tree. Other nodes are branched, unless their classes
+are alike already, in which case branching would only repeat them. At the ends of the
+paths, classes whose sizes and signatures may fit one of another component are compared
+on full sets; a unit of work gives no more links than it has classes. In ends that are
+still large, what is not in the node's greatest component is compared, in blocks, with
+all of it; classes that share too few of their tokens with any other are left out first,
+which is exact.
+
+A pair at the threshold t meets in a given tree with probability at least
+t * (1 - (1 - t ** STEP) ** BRANCHES) ** DEPTH; the number of trees follows from that and the recall.
 """
 
 from __future__ import annotations
@@ -35,14 +39,18 @@ from lakewright.llm.grouped import map_groups
 from lakewright.llm.shingles import mix, shingle_sets
 from lakewright.llm.tables import settled
 
-SIGNATURE, LEAF, BRANCHES, DEPTH = 64, 48, 2, 3
+SIGNATURE, LEAF, BRANCHES, STEP, DEPTH = 64, 48, 4, 2, 4
+#: Mean agreement with a node's first class from which a large node is not branched.
+ALIKE = 0.35
+#: Cells of the table of classes by tokens up to which a unit is compared at once.
+CELLS = 8_000_000
 BYTES = 2_000_000
 SEEDS = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
 def trees_for(percent: int, recall: float) -> int:
     t = percent / 100
-    meets = t * (1 - (1 - t) ** BRANCHES) ** DEPTH
+    meets = t * (1 - (1 - t**STEP) ** BRANCHES) ** DEPTH
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meets))) if meets < 1 else 1
 
 
@@ -113,44 +121,84 @@ def full_sets(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
     return source.mapInArrow(run, "class binary, tokens array<long>")
 
 
-def _draw(node: Column, branch: int, seed: int) -> Column:
-    """The signature place by which a node branches: drawn by its path alone."""
-    return F.pmod(F.xxhash64(node, F.lit(branch), F.lit(seed)), F.lit(SIGNATURE)).cast("int")
+def _token(*drawn_by: Column) -> Column:
+    """The signature's token at a place drawn by a path alone."""
+    return F.element_at("signature", (F.pmod(F.xxhash64(*drawn_by), F.lit(SIGNATURE)) + 1).cast("int"))
 
 
-def _branch(rows: DataFrame, node: Column, branches: int, seed: int) -> DataFrame:
-    steps = [
-        F.xxhash64(node, F.lit(b), F.element_at("signature", _draw(node, b, seed) + 1)).alias("node") for b in range(branches)
-    ]
-    return rows.select("class", F.explode(F.array(*steps)).alias("node"))
+def tree_roots(classes: DataFrame, trees: int, seed: int) -> DataFrame:
+    """(node, class): each class in the root of its token of each tree, where others are too."""
+    roots = [F.xxhash64(F.lit(seed), F.lit(t), _token(F.lit(seed), F.lit(t))) for t in range(trees)]
+    rows = classes.select("class", "n_shingles", F.explode(F.array(*roots)).alias("node"))
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes")).filter("n_classes > 1").select("node")
+    return settled(rows.join(sizes, "node"), "tree-roots")
 
 
-def tree_nodes(classes: DataFrame, trees: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """The small and the still large nodes at the ends of all paths: (node, class, n_classes)."""
-    roots = [
-        F.xxhash64(F.lit(seed), F.lit(t), F.element_at("signature", F.pmod(F.xxhash64(F.lit(seed), F.lit(t)), F.lit(SIGNATURE)).cast("int") + 1))
-        for t in range(trees)
-    ]
-    rows = classes.select("class", F.explode(F.array(*roots)).alias("node"))
-    small = None
+def path_ends(roots: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Small and still large nodes at the ends of paths with more than one component: (node, class, component, n_classes).
+
+    ``known`` has the signature and the component of each class.
+    """
+    rows, ends = roots.select("node", "class").join(known.select("class", "component"), "class"), []
     for depth in range(DEPTH + 1):
-        rows = rows.distinct() if depth else rows
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes")).filter("n_classes > 1")
-        level = settled(rows.join(sizes, "node"), "tree-level")
-        ends = level.filter(F.col("n_classes") <= LEAF)
-        small = ends if small is None else small.unionByName(ends)
+        sizes = rows.groupBy("node").agg(
+            F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("class").alias("first"),
+        )
+        level = settled(rows.join(sizes.filter("lo <> hi").select("node", "n_classes", "first"), "node"), "tree-level")
         large = level.filter(F.col("n_classes") > LEAF)
-        if depth == DEPTH or not large.limit(1).count():
-            return small, large
-        rows = _branch(large.join(classes, "class"), F.col("node"), BRANCHES, seed)
+        if not large.limit(1).count():
+            ends.append(level.select("node", "class", "component", "n_classes"))
+            break
+        signed = large.join(known.select("class", "signature"), "class").join(
+            known.select(F.col("class").alias("first"), F.col("signature").alias("left")), "first"
+        )
+        alike = signed.groupBy("node").agg((F.avg(_agreement("left", "signature")) >= ALIKE * SIGNATURE).alias("alike"))
+        level = settled(level.join(alike, "node", "left"), "tree-level")
+        branching = level.filter("NOT alike") if depth < DEPTH else None
+        ended = level.filter("alike IS NULL OR alike") if depth < DEPTH else level
+        ends.append(ended.select("node", "class", "component", "n_classes"))
+        if branching is None or not branching.limit(1).count():
+            break
+        steps = [
+            F.xxhash64("node", F.lit(b), *[_token(F.col("node"), F.lit(b), F.lit(k)) for k in range(STEP)]) for b in range(BRANCHES)
+        ]
+        deeper = branching.select("node", "class").join(known, "class")
+        rows = deeper.select("class", "component", F.explode(F.array_distinct(F.array(*steps))).alias("node"))
+    every = ends[0]
+    for more in ends[1:]:
+        every = every.unionByName(more)
+    return every.filter(F.col("n_classes") <= LEAF), every.filter(F.col("n_classes") > LEAF)
+
+
+def _agreement(left: str, right: str) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+
+
+def joinable(nodes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
+    """Those rows of large nodes whose class shares enough tokens with other classes of ``nodes`` to be linked at all.
+
+    A link takes ``percent`` of a set's own tokens, so a set that has more of them to itself has none here.
+    """
+    sets = sets_of(nodes.select("class").distinct(), docs, members, id, text, words)
+    told = sets.select("class", F.explode("tokens").alias("token"))
+    common = told.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
+    shared = told.join(common, "token").groupBy("class").agg(F.count(F.lit(1)).alias("n_shared"))
+    able = shared.join(sets.select("class", F.size("tokens").alias("n_tokens")), "class")
+    able = able.filter(F.col("n_shared") * 100 >= F.col("n_tokens").cast("long") * percent).select("class")
+    kept = nodes.drop("n_classes").join(able, "class", "left_semi")
+    sizes = kept.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return settled(kept.join(sizes.filter("lo <> hi").select("node", "n_classes"), "node"), "joinable")
+
+
+def sets_of(classes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int) -> DataFrame:
+    """(class, tokens): the full sets of ``classes``, from the text of one member of each."""
+    one_of_each = members.join(classes, "class").groupBy("class").agg(F.min("id").alias("id")).select(F.col("id").alias(id)).distinct()
+    found = full_sets(docs.join(one_of_each, id, "left_semi"), id, text, words)
+    return settled(found.join(classes, "class", "left_semi").dropDuplicates(["class"]), "full-sets")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the ``pairs`` (a, b) of classes whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    one_of_each = members.join(ends, "class").groupBy("class").agg(F.min("id").alias("id")).select("id")
-    texts = docs.join(one_of_each.distinct().select(F.col("id").alias(id)), id, "left_semi")
-    sets = settled(full_sets(texts, id, text, words).join(ends, "class", "left_semi").dropDuplicates(["class"]), "full-sets")
     left = sets.select(F.col("class").alias("a"), F.col("tokens").alias("left"))
     right = sets.select(F.col("class").alias("b"), F.col("tokens").alias("right"))
     shared = F.size(F.array_intersect("left", "right")).cast("long")
@@ -158,39 +206,76 @@ def confirmed(pairs: DataFrame, docs: DataFrame, members: DataFrame, id: str, te
     return pairs.join(left, "a").join(right, "b").filter(shared * 100 >= union * percent).select("a", "b")
 
 
-def _first_pairs(nodes: DataFrame) -> DataFrame:
-    """Each class of a node with the node's smallest."""
-    first = nodes.groupBy("node").agg(F.min("class").alias("a"))
-    return nodes.join(first, "node").filter("class <> a").select("a", F.col("class").alias("b"))
+def first_pairs(roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class of a root with the root's smallest, if their sizes and signatures may fit."""
+    first = roots.groupBy("node").agg(F.min(F.struct("class", "n_shingles")).alias("first"))
+    n, n_first = F.col("n_shingles"), F.col("first.n_shingles")
+    sizes_fit = F.least(n, n_first) * 100 >= F.greatest(n, n_first) * percent
+    pairs = roots.join(first, "node").filter((F.col("class") != F.col("first.class")) & sizes_fit)
+    pairs = pairs.select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
+    left = classes.select(F.col("class").alias("a"), F.col("signature").alias("left"))
+    right = classes.select(F.col("class").alias("b"), F.col("signature").alias("right"))
+    return pairs.join(left, "a").join(right, "b").filter(_agreement("left", "right") >= least_agreement(percent)).select("a", "b")
 
 
-def _likely(left: pd.DataFrame, right: pd.DataFrame, percent: int, agree: int) -> np.ndarray:
-    """Which rows of two frames may be similar, by their sizes, exactly, and by their signatures."""
-    a, b = left["n_shingles"].to_numpy()[:, None], right["n_shingles"].to_numpy()[None, :]
-    fit = (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
-    i, j = np.nonzero(fit)
-    if not len(i):
-        return np.zeros((0, 2), np.int64)
-    x, y = np.stack(left["signature"].to_numpy()), np.stack(right["signature"].to_numpy())
-    good = (x[i] == y[j]).sum(axis=1) >= agree
-    return np.stack((i[good], j[good]), axis=1)
+def _may_fit(units: DataFrame, percent: int) -> DataFrame:
+    """The rows of each unit whose size and signature may fit a row of another component, one of the two of side 0."""
+    agree = least_agreement(percent)
 
+    def work(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        keep = np.zeros(len(frame), bool)
+        component, side = pd.factorize(frame["component"])[0], frame["side"].to_numpy()
+        size, signature = frame["n_shingles"].to_numpy(), np.stack(frame["signature"].to_numpy())
+        for lo, hi in zip(bounds, bounds[1:]):
+            left = lo + np.flatnonzero(side[lo:hi] == 0)
+            a, b = size[left][:, None], size[lo:hi][None, :]
+            fit = (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent) & (component[left][:, None] != component[lo:hi][None, :])
+            i, j = np.nonzero(fit)
+            good = (signature[left[i]] == signature[lo + j]).sum(axis=1) >= agree
+            keep[left[i[good]]] = keep[lo + j[good]] = True
+        return frame.loc[keep, ["unit", "class", "side", "component"]]
 
-def _open_pairs(units: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the rows of a unit that are in different components; rows of side 1 only with rows of side 0."""
-    agree = least_agreement(percent)
+    return map_groups(units, "unit", work, "unit long, class binary, side int, component binary")
+
+
+def _shared_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of a list of sets with another."""
+    flat = np.concatenate([*left, *right])
+    values, at = np.unique(flat, return_inverse=True)
+    if (len(left) + len(right)) * len(values) > CELLS:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left])
+    table = np.zeros((len(left) + len(right), len(values)), np.float32)
+    table[np.repeat(np.arange(len(table)), [len(x) for x in [*left, *right]]), at] = 1
+    return (table[: len(left)] @ table[len(left) :].T).astype(np.int64)
+
+
+def _unit_links(units: DataFrame, percent: int) -> DataFrame:
+    """(a, b): confirmed links of each unit between components, as few as connect what they connect."""
 
     def work(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
         found: list[tuple[bytes, bytes]] = []
+        names, sides, sets = frame["class"].to_numpy(), frame["side"].to_numpy(), frame["tokens"].to_numpy()
         for lo, hi in zip(bounds, bounds[1:]):
-            group = frame.iloc[lo:hi]
-            if hi - lo < 2 or group["component"].nunique() < 2:
+            left = lo + np.flatnonzero(sides[lo:hi] == 0)
+            if not len(left) or hi - lo < 2:
                 continue
-            left = group[group["side"] == 0]
-            pairs = _likely(left, group, percent, agree)
-            a, b = left["class"].to_numpy()[pairs[:, 0]], group["class"].to_numpy()[pairs[:, 1]]
-            found.extend((min(p), max(p)) for p in zip(a, b))
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"])
+            shared = _shared_tokens([sets[i] for i in left], [sets[i] for i in range(lo, hi)])
+            sizes = np.array([len(sets[i]) for i in range(lo, hi)])
+            linked = shared * 100 >= (sizes[left - lo][:, None] + sizes[None, :] - shared) * percent
+            joined = dict(zip(frame["component"].iloc[lo:hi], frame["component"].iloc[lo:hi]))
+
+            def root(x: bytes) -> bytes:
+                while joined[x] != x:
+                    x = joined[x]
+                return x
+
+            own = frame["component"].to_numpy()
+            for i, j in np.argwhere(linked):
+                x, y = root(own[left[i]]), root(own[lo + j])
+                if x != y:
+                    joined[max(x, y)] = min(x, y)
+                    found.append((names[left[i]], names[lo + j]))
+        return pd.DataFrame(found, columns=["a", "b"])
 
     return map_groups(units, "unit", work, "a binary, b binary").distinct()
 
@@ -218,18 +303,23 @@ def near_duplicates(
         rows.filter("class IS NOT NULL").groupBy("class").agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
         "classes",
     )
-    small, large = tree_nodes(classes, trees_for(percent, recall), seed)
-    first = settled(_first_pairs(small.unionByName(large)).distinct(), "first-pairs")
-    links = settled(confirmed(first, docs, members, id, text, words, percent), "links")
+    roots = tree_roots(classes, trees_for(percent, recall), seed)
+    pairs = settled(first_pairs(roots, classes, percent), "first-pairs")
+    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    links = settled(confirmed(pairs, sets_of(ends, docs, members, id, text, words), percent), "links")
 
     joined = components(links)
     known = classes.join(joined, F.col("class") == F.col("node"), "left").select(
         "class", "n_shingles", "signature", F.coalesce("component", "class").alias("component")
     )
-    open_small, open_large = _mixed(small, joined), _mixed(large, joined)
-    units = open_small.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(_residue_blocks(open_large))
-    more = settled(_open_pairs(units.join(known, "class"), percent), "open-pairs")
-    more_links = confirmed(more, docs, members, id, text, words, percent)
+    known = settled(known, "known-classes")
+    small, large = path_ends(roots, known)
+    units = small.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(
+        _residue_blocks(joinable(large, docs, members, id, text, words, percent))
+    )
+    open_rows = settled(_may_fit(units.join(known, "class"), percent), "open-rows")
+    open_sets = sets_of(open_rows.select("class").distinct(), docs, members, id, text, words)
+    more_links = _unit_links(open_rows.join(open_sets, "class"), percent)
     # rows that share an id are one document: their classes are linked without comparison
     shared = members.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count_distinct("class").alias("n")).filter("n > 1")
     same_id = members.join(shared, "id").filter("class <> a").select("a", F.col("class").alias("b"))
@@ -246,22 +336,14 @@ def near_duplicates(
     )
 
 
-def _mixed(nodes: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows of those nodes whose classes are not all in one component yet, with it."""
-    placed = nodes.join(joined, F.col("class") == joined["node"], "left").select(
-        nodes["node"], "class", "n_classes", F.coalesce("component", "class").alias("component")
-    )
-    spread = placed.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    return placed.join(spread.select("node"), "node", "left_semi")
-
-
 def _residue_blocks(nodes: DataFrame) -> DataFrame:
-    """Units of at most 2 * LEAF rows that hold each class outside a large node's first component with each of the node.
+    """Units of about 2 * LEAF rows that hold each class outside a node's greatest component with each of the node.
 
     Side 0 are blocks of the classes outside, side 1 blocks of all classes of the node.
     """
-    first = nodes.groupBy("node").agg(F.min_by("component", "class").alias("main"))
-    placed = nodes.join(first, "node")
+    per_component = nodes.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
+    greatest = per_component.groupBy("node").agg(F.max(F.struct("n", "component")).alias("greatest"))
+    placed = nodes.join(greatest.select("node", F.col("greatest.component").alias("main")), "node")
     outside = placed.filter("component <> main")
     n_outside = outside.groupBy("node").agg(F.count(F.lit(1)).alias("n_outside"))
 
