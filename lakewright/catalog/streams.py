@@ -37,7 +37,7 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     spark = stream.sparkSession
     out = scratch_path(spark, f"{label}-out")
-    run_available(start_append(stream, out, scratch_path(spark, f"{label}-state"), every=None))
+    run_available(start_append(stream, out, scratch_path(spark, f"{label}-state"), every=None), all_rows=True)
     return read_table(spark, out)
 
 

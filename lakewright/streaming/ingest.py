@@ -54,8 +54,8 @@ def refused_rows(query: StreamingQuery) -> int:
     return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
 
 
-def run_available(query: StreamingQuery, may_refuse: bool = False) -> None:
-    """Wait for an available-now query and surface its failure, and rows that a watermark refused."""
+def run_available(query: StreamingQuery, all_rows: bool = False) -> None:
+    """Wait for an available-now query and surface its failure; with ``all_rows`` also rows that a watermark refused."""
     query.awaitTermination()
-    if not may_refuse and (refused := refused_rows(query)):
+    if all_rows and (refused := refused_rows(query)):
         raise RowsRefused(f"{refused} rows were older than the watermark; replay in order of event time or in one trigger")

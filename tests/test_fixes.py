@@ -37,7 +37,7 @@ def test_a_replay_of_unordered_files_loses_nothing(spark, files):
 
     def stored(stream):
         out = scratch_path(spark, "replayed")
-        run_available(start_append(stream, out, scratch_path(spark, "replay-state"), every=None))
+        run_available(start_append(stream, out, scratch_path(spark, "replay-state"), every=None), all_rows=True)
         return read_table(spark, out)
 
     whole = table_stream(spark, log, events.schema, max_files=None)
