@@ -40,6 +40,8 @@ from lakewright.llm.shingles import mix, shingle_sets
 from lakewright.llm.tables import settled
 
 SIGNATURE, LEAF, BRANCHES, STEP, DEPTH = 64, 48, 4, 2, 4
+#: Classes in a block of a node that stays large: fewer blocks repeat their classes less often.
+BLOCK = 128
 #: Mean agreement with a node's first class from which a large node is not branched.
 ALIKE = 0.35
 #: Cells of the table of classes by tokens up to which a unit is compared at once.
@@ -337,7 +339,7 @@ def near_duplicates(
 
 
 def _residue_blocks(nodes: DataFrame) -> DataFrame:
-    """Units of about 2 * LEAF rows that hold each class outside a node's greatest component with each of the node.
+    """Units of about 2 * BLOCK rows that hold each class outside a node's greatest component with each of the node.
 
     Side 0 are blocks of the classes outside, side 1 blocks of all classes of the node.
     """
@@ -348,10 +350,10 @@ def _residue_blocks(nodes: DataFrame) -> DataFrame:
     n_outside = outside.groupBy("node").agg(F.count(F.lit(1)).alias("n_outside"))
 
     def block(of: str) -> Column:
-        return F.pmod(F.xxhash64("class"), F.ceil(F.col(of) / LEAF))
+        return F.pmod(F.xxhash64("class"), F.ceil(F.col(of) / BLOCK))
 
     def blocks(of: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(of) / LEAF).cast("long") - 1))
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(of) / BLOCK).cast("long") - 1))
 
     sized = placed.join(n_outside, "node")
     left = sized.filter("component <> main").select("node", "class", block("n_outside").alias("i"), blocks("n_classes").alias("j"), F.lit(0).alias("side"))
