@@ -18,15 +18,18 @@ still large, what is not in the node's greatest component is compared, in blocks
 all of it; classes that share too few of their tokens with any other are left out first,
 which is exact.
 
-A pair at the threshold t meets in a given tree with probability at least
-t * (1 - (1 - t ** STEP) ** BRANCHES) ** DEPTH; the number of trees follows from that and the recall.
+Trees start from different places of the signature, and a branch takes STEP different
+ones. ``missed`` gives the probability that a pair at the threshold meets in no tree;
+the number of trees follows from that and the recall.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+import random
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -50,10 +53,42 @@ BYTES = 2_000_000
 SEEDS = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
+#: Trees beyond which no recall is looked for.
+MOST_TREES = 4 * SIGNATURE
+
+
+def root_places(trees: int, seed: int) -> list[int]:
+    """The signature's place of each tree's root: a permutation, so none is used twice before all have been."""
+    order = random.Random(seed).sample(range(SIGNATURE), SIGNATURE)
+    return [order[t % SIGNATURE] for t in range(trees)]
+
+
+def missed(percent: int, places: Sequence[int]) -> float:
+    """The probability that a pair at the threshold meets in no tree of these roots, or agrees in too few places to be compared.
+
+    Given the number m of places in which the pair agrees, branches are independent: a tree
+    whose root agrees is followed to its end with a probability that depends on m only.
+    """
+    t, least, total = percent / 100, least_agreement(percent), 0.0
+    uses = np.bincount(np.array(places, np.int64), minlength=SIGNATURE)
+    for m in range(SIGNATURE + 1):
+        both = math.comb(m, STEP) / math.comb(SIGNATURE, STEP)
+        weights = (1 - (1 - (1 - both) ** BRANCHES) ** DEPTH) ** uses if m >= least else np.ones(SIGNATURE)
+        sums = np.zeros(SIGNATURE + 1)  # per number of agreeing places: the probability of no meeting, times that of the places
+        sums[0] = 1.0
+        for weight in weights:
+            sums[1:], sums[0] = sums[1:] * (1 - t) + sums[:-1] * t * weight, sums[0] * (1 - t)
+        total += float(sums[m])
+    return total
+
+
+@lru_cache(maxsize=64)
 def trees_for(percent: int, recall: float) -> int:
-    t = percent / 100
-    meets = t * (1 - (1 - t**STEP) ** BRANCHES) ** DEPTH
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meets))) if meets < 1 else 1
+    """The least number of trees with which a pair at the threshold is missed with a probability below 1 - ``recall``."""
+    for trees in range(1, MOST_TREES + 1):
+        if missed(percent, root_places(trees, 0)) < 1 - recall:
+            return trees
+    raise ValueError(f"signatures of {SIGNATURE} places do not give a recall of {recall} at {percent} %")
 
 
 def least_agreement(percent: int, miss: float = 1e-7) -> int:
@@ -123,14 +158,30 @@ def full_sets(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
     return source.mapInArrow(run, "class binary, tokens array<long>")
 
 
-def _token(*drawn_by: Column) -> Column:
-    """The signature's token at a place drawn by a path alone."""
-    return F.element_at("signature", (F.pmod(F.xxhash64(*drawn_by), F.lit(SIGNATURE)) + 1).cast("int"))
+def _token(place: Column) -> Column:
+    """The signature's token at a place."""
+    return F.element_at("signature", (place + 1).cast("int"))
+
+
+def branch_places(node: Column, branch: int) -> list[Column]:
+    """STEP different places of the signature, drawn by a node's path alone."""
+    places: list[Column] = []
+    for k in range(STEP):
+        # the drawn one of the places that are left
+        place = F.pmod(F.xxhash64(node, F.lit(branch), F.lit(k)), F.lit(SIGNATURE - k))
+        for taken in _in_order(places):
+            place = place + (place >= taken).cast("long")
+        places.append(place)
+    return places
+
+
+def _in_order(places: list[Column]) -> list[Column]:
+    return [F.array_sort(F.array(*places))[k] for k in range(len(places))] if len(places) > 1 else places
 
 
 def tree_roots(classes: DataFrame, trees: int, seed: int) -> DataFrame:
     """(node, class): each class in the root of its token of each tree, where others are too."""
-    roots = [F.xxhash64(F.lit(seed), F.lit(t), _token(F.lit(seed), F.lit(t))) for t in range(trees)]
+    roots = [F.xxhash64(F.lit(seed), F.lit(t), _token(F.lit(place))) for t, place in enumerate(root_places(trees, seed))]
     rows = classes.select("class", "n_shingles", F.explode(F.array(*roots)).alias("node"))
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes")).filter("n_classes > 1").select("node")
     return settled(rows.join(sizes, "node"), "tree-roots")
@@ -162,7 +213,7 @@ def path_ends(roots: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]
         if branching is None or not branching.limit(1).count():
             break
         steps = [
-            F.xxhash64("node", F.lit(b), *[_token(F.col("node"), F.lit(b), F.lit(k)) for k in range(STEP)]) for b in range(BRANCHES)
+            F.xxhash64("node", F.lit(b), *[_token(place) for place in branch_places(F.col("node"), b)]) for b in range(BRANCHES)
         ]
         deeper = branching.select("node", "class").join(known, "class")
         rows = deeper.select("class", "component", F.explode(F.array_distinct(F.array(*steps))).alias("node"))
@@ -297,7 +348,7 @@ def near_duplicates(
     has the component of its text and is kept only if no other id is in it. Equal
     texts are always linked; a link between different texts is missed with a
     probability of less than 1 - ``recall``, and any other path between the two
-    makes up for it.
+    makes up for it. A ``recall`` that the signatures cannot give at a low ``percent`` is refused.
     """
     rows = settled(sketches(docs, id, text, words), "sketches")
     members = rows.filter("class IS NOT NULL").select("id", "class")

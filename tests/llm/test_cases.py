@@ -98,6 +98,29 @@ def test_a_crowd_of_near_copies_equals_brute_force(spark):
     assert got == brute_components(texts, 85)
 
 
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_trees_start_from_different_places_and_miss_less_than_promised(percent):
+    trees = minhash_dedup.trees_for(percent, 1 - 1e-6)
+    for seed in (0, 1, 17, 99):
+        places = minhash_dedup.root_places(trees, seed)
+        assert len(set(places)) == trees and set(places) <= set(range(minhash_dedup.SIGNATURE))
+        assert minhash_dedup.missed(percent, places) < 1e-6
+    # the places that hashing gave for seed 17, two of them twice
+    assert minhash_dedup.missed(85, [48, 10, 22, 27, 6, 57, 57, 10]) > 1e-5
+    assert minhash_dedup.missed(85, [0] * 5) > 0.15
+    with pytest.raises(ValueError):
+        minhash_dedup.trees_for(10, 1 - 1e-6)
+
+
+def test_a_branch_takes_different_places(spark):
+    branches = [F.array(*minhash_dedup.branch_places(F.xxhash64("id"), b)) for b in range(minhash_dedup.BRANCHES)]
+    drawn = [tuple(r.places) for r in spark.range(3000).select(F.explode(F.array(*branches)).alias("places")).collect()]
+    assert all(len(set(p)) == minhash_dedup.STEP and 0 <= min(p) and max(p) < minhash_dedup.SIGNATURE for p in drawn)
+    for k in range(minhash_dedup.STEP):
+        counts = np.bincount([p[k] for p in drawn], minlength=minhash_dedup.SIGNATURE)
+        assert counts.min() > 0.6 * len(drawn) / minhash_dedup.SIGNATURE and counts.max() < 1.4 * len(drawn) / minhash_dedup.SIGNATURE
+
+
 def test_components_of_paths_and_stars(spark):
     path = [(k, k + 1) for k in range(0, 60)]
     star = [(1000, k) for k in range(1001, 1100)]
