@@ -1,7 +1,8 @@
-"""Signatures of licences for lower-cased text: label, priority, keyword, pattern.
+"""Signatures of licences for lower-cased text: label, priority, keywords, pattern.
 
 A space in a pattern stands for anything between two words. A rule is tried on texts
-that hold its keyword. Priorities: 95 machine-readable tags, 85 exact titles with a
+that hold one of its keywords (set apart by commas), so whatever its pattern matches
+must hold one. Priorities: 95 machine-readable tags, 85 exact titles with a
 version, 75 addresses, 70 sentences of grants and conditions, 50 titles without a
 version, 30 mentions.
 """
@@ -15,7 +16,7 @@ BASE_RULES = [
     ("gpl", 60, "license", r"general public license"),
 ]
 
-#: label | priority | keyword | pattern
+#: label | priority | keywords | pattern
 SIGNATURES = r"""
 0bsd | 95 | spdx | spdx license identifier 0bsd
 afl-2.1 | 95 | spdx | spdx license identifier afl 2 1
@@ -142,7 +143,7 @@ cc-by-sa-2.0 | 80 | cc | cc by sa 2 0
 cc-by-sa-3.0 | 80 | cc | cc by sa 3 0
 cc-by-sa-4.0 | 80 | cc | cc by sa 4 0
 cc0-1.0 | 85 | cc0 | cc0 1 0(?: universal)?
-cc0-1.0 | 80 | cc0 | creative commons (?:zero|cc0)
+cc0-1.0 | 80 | creative | creative commons (?:zero|cc0)
 odbl-1.0 | 85 | database | open (?:data commons open )?database license (?:version |v ?)?1 0
 odc-by-1.0 | 85 | data | open data commons attribution license (?:version |v ?)?1 0
 pddl-1.0 | 85 | dedication | public domain dedication and license (?:version |v ?)?1 0
@@ -186,17 +187,17 @@ postgresql | 70 | permission | permission to use copy modify and distribute this
 bsd | 70 | redistribution | redistribution and use in source and binary forms with or without modification are permitted
 bsd-2-clause | 62 | redistributions | redistributions in binary form must reproduce the above copyright notice
 bsd | 60 | redistributions | redistributions of source code must retain the above copyright notice
-bsd-3-clause | 72 | endorse | neither the names? of .{1,80}? nor the names of its contributors may be used to endorse or promote products
+bsd-3-clause | 72 | endorse | neither the names? of (?s:.){1,80}? nor the names of its contributors may be used to endorse or promote products
 bsd-4-clause | 74 | advertising | all advertising materials mentioning features or use of this software must display
 bsd-3-clause-clear | 72 | patent | no express or implied licenses to any party s patent rights are granted by this license
 apache-2.0 | 70 | compliance | you may not use this file except in compliance with the license
 apache-2.0 | 66 | governing | see the license for the specific language governing permissions and limitations under the license
 apache-2.0 | 68 | perpetual | grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license
-gpl-2.0+ | 72 | redistribute | it under the terms of the gnu general public license as published by the free software foundation either version 2
-gpl-3.0+ | 72 | redistribute | it under the terms of the gnu general public license as published by the free software foundation either version 3
-lgpl-2.1+ | 72 | redistribute | it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1
-lgpl-3.0+ | 72 | redistribute | it under the terms of the gnu lesser general public license as published by the free software foundation either version 3
-agpl-3.0+ | 72 | redistribute | it under the terms of the gnu affero general public license as published by the free software foundation either version 3
+gpl-2.0+ | 72 | general | it under the terms of the gnu general public license as published by the free software foundation either version 2
+gpl-3.0+ | 72 | general | it under the terms of the gnu general public license as published by the free software foundation either version 3
+lgpl-2.1+ | 72 | general | it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1
+lgpl-3.0+ | 72 | general | it under the terms of the gnu lesser general public license as published by the free software foundation either version 3
+agpl-3.0+ | 72 | general | it under the terms of the gnu affero general public license as published by the free software foundation either version 3
 gpl | 62 | merchantability | without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license
 lgpl | 64 | merchantability | without even the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser general public license
 gpl | 64 | received | you should have received a copy of the gnu general public license
@@ -210,7 +211,7 @@ bsl-1.0 | 70 | permission | permission is hereby granted free of charge to any p
 zlib | 70 | misrepresented | the origin of this software must not be misrepresented
 zlib | 66 | altered | altered source versions must be plainly marked as such
 unlicense | 70 | unencumbered | this is free and unencumbered software released into the public domain
-wtfpl | 70 | wtfpl | do what the f[a-z*]+ you want to(?: public license)?
+wtfpl | 70 | want | do what the f[a-z*]+ you want to(?: public license)?
 wtfpl | 70 | want | you just do what the f[a-z]+ you want to
 cc0-1.0 | 70 | waived | (?:has )?waived all copyright and related or neighboring rights
 public-domain | 60 | domain | (?:released|placed|dedicated|is) (?:in|into|to|in to) the public domain
@@ -219,7 +220,7 @@ json | 72 | evil | the software shall be used for good not evil
 beerware | 70 | beer | you can buy me a beer in return
 openssl | 70 | openssl | this product includes software developed by the openssl project
 curl | 70 | permission | permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted
-ncsa | 70 | documentation | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files .{1,8}deal with the software
+ncsa | 70 | documentation | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files (?s:.){1,8}deal with the software
 ms-pl | 70 | microsoft | microsoft public license
 ms-rl | 70 | microsoft | microsoft reciprocal license
 commons-clause | 72 | commons | commons clause (?:license )?condition
@@ -266,11 +267,11 @@ ofl | 45 | font | open font licen[cs]e
 wtfpl | 45 | wtfpl | wtfpl
 unlicense | 45 | unlicense | the unlicense
 cc | 40 | creative | creative commons(?: licen[cs]e)?
-cc-by-nc | 45 | commercial | (?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial)
+cc-by-nc | 45 | cc,creative | (?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial)
 cc-by-sa | 45 | alike | creative commons attribution share ?alike
 eupl | 45 | eupl | eupl
 sspl | 45 | sspl | sspl
 odbl | 45 | odbl | odbl
 copyright | 30 | copyright | copyright (?:c )?(?:19|20)[0-9][0-9]
-license-reference | 30 | license | (?:licensed|released|distributed|available) under the (?:terms of the )?
+license-reference | 30 | licensed,released,distributed,available | (?:licensed|released|distributed|available) under the(?: terms of the)?
 """

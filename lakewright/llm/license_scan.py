@@ -55,11 +55,12 @@ class Rules:
         import ahocorasick
 
         lines = [line.split(" | ", 3) for line in SIGNATURES.strip().splitlines()]
-        every = BASE_RULES + [(label, int(priority), keyword, pattern) for label, priority, keyword, pattern in lines]
+        every = BASE_RULES + [(label, int(priority), keywords, pattern) for label, priority, keywords, pattern in lines]
         self.rules = [(label, priority, _compiled(pattern)) for label, priority, _, pattern in every]
         self.by_keyword: dict[str, list[int]] = {}
-        for number, (_, _, keyword, _) in enumerate(every):
-            self.by_keyword.setdefault(keyword, []).append(number)
+        for number, (_, _, keywords, _) in enumerate(every):
+            for keyword in keywords.split(","):
+                self.by_keyword.setdefault(keyword, []).append(number)
         self.automaton = ahocorasick.Automaton()
         for keyword in self.by_keyword:
             self.automaton.add_word(keyword, keyword)
@@ -69,7 +70,7 @@ class Rules:
         """All detections in a text, in order of their places."""
         text = text.translate(LOWER) if not text.islower() else text
         keywords = {keyword for _, keyword in self.automaton.iter(text)}
-        numbers = sorted(n for keyword in keywords for n in self.by_keyword[keyword])
+        numbers = sorted({n for keyword in keywords for n in self.by_keyword[keyword]})
         found = []
         for n in numbers:
             label, priority, pattern = self.rules[n]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -255,6 +256,51 @@ def test_license_cases(odd, none):
     assert hidden and not any(d["kept"] for d in hidden)
 
 
+def samples(pattern) -> set[str]:
+    """Texts that a parsed pattern matches, of every alternative; repeats are taken least and most often, if optional."""
+    every = {""}
+    for kind, value in pattern:
+        name = str(kind)
+        if name == "LITERAL":
+            own = {chr(value)}
+        elif name == "IN":
+            own = {chr(x[1] if str(x[0]) == "LITERAL" else x[1][0]) for x in value}
+        elif name == "ANY":
+            own = {"\n"}
+        elif name == "BRANCH":
+            own = set().union(*[samples(p) for p in value[1]])
+        elif name == "SUBPATTERN":
+            own = samples(value[-1])
+        else:
+            least, most, inner = value
+            own = {x * n for x in samples(inner) for n in {max(least, min(most, 1)), least}}
+        every = {a + b for a in every for b in own}
+    return every
+
+
+def test_every_license_rule_fires_through_the_prefilter():
+    known = license_scan.Rules()
+    patterns = [line.split(" | ", 3)[3] for line in license_scan.SIGNATURES.strip().splitlines()]
+    for number, pattern in enumerate(patterns, len(license_scan.BASE_RULES)):
+        for text in samples(re._parser.parse(pattern)):
+            assert any(d["rule"] == number for d in known.detections(f"x {text} y")), (pattern, text)
+
+
+def test_licenses_that_the_prefilter_lost():
+    known = license_scan.Rules()
+
+    def kept(text):
+        return {d["label"] for d in known.detections(text) if d["kept"]}
+
+    assert "cc-by-nc" in kept("Shared as CC BY-NC.") and "cc0-1.0" in kept("Creative Commons Zero")
+    assert "wtfpl" in kept("Do What The Fuck You Want To Public License")
+    assert "gpl-2.0+" in kept("modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2")
+    assert "license-reference" in kept("Licensed under the Apache License") and "license-reference" in kept("available under the terms of the MPL")
+    assert "bsd-3-clause" in kept(
+        "Neither the name of the\ncopyright holder nor the names of its\ncontributors may be used to endorse or promote products"
+    )
+
+
 def test_codec_on_odd_rows(odd, none):
     model = piece_model()
     rows = sentencepiece_codec.decode(sentencepiece_codec.encode(odd, model), model).collect()
