@@ -31,6 +31,8 @@ URL_RULES = [
 
 
 KEPT_SCORE = 0.7
+#: The ratio of the line query's SQL; the operator's own default is far lower.
+LINE_RATIO = 0.1
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +118,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate of its source."""
-    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
+    return drop_boilerplate(table(spark, sf_dir, "documents"), ratio=LINE_RATIO).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

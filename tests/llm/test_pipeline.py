@@ -56,6 +56,13 @@ def test_lines(steps):
         assert after[i].text == text and after[i].n_chars == len(text)
 
 
+def test_lines_on_a_hundredth_of_a_source_go(spark):
+    rows = [(k, "\n".join(["menu"] * (k < 5) + ["rare"] * (k < 3) + [f"own line {k}"]), "en", "s", 30) for k in range(500)]
+    docs = spark.createDataFrame(rows, table(spark, SMALL, "documents").schema)
+    texts = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, SMALL).collect()}
+    assert texts == {k: "\n".join(["rare"] * (k < 3) + [f"own line {k}"]) for k in range(500)}
+
+
 def test_near_copies(steps):
     before = {i: r.text for i, r in rows(steps[2]).items()}
     assert set(rows(steps[3])) == {i for i, c in brute_components(before, 85).items() if i == c}
