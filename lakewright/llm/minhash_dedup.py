@@ -246,7 +246,9 @@ def joinable(nodes: DataFrame, docs: DataFrame, members: DataFrame, id: str, tex
 def sets_of(classes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int) -> DataFrame:
     """(class, tokens): the full sets of ``classes``, from the text of one member of each."""
     one_of_each = members.join(classes, "class").groupBy("class").agg(F.min("id").alias("id")).select(F.col("id").alias(id)).distinct()
-    found = full_sets(docs.join(one_of_each, id, "left_semi"), id, text, words)
+    # null-safe: a class may have no other id than null
+    read = docs.join(one_of_each.select(F.col(id).alias("_one")), F.col(id).eqNullSafe(F.col("_one")), "left_semi")
+    found = full_sets(read, id, text, words)
     return settled(found.join(classes, "class", "left_semi").dropDuplicates(["class"]), "full-sets")
 
 

@@ -62,6 +62,12 @@ def test_rows_that_share_an_id_share_their_component(spark):
     assert {r.component_id for r in minhash_dedup.near_duplicates(docs).collect()} == {3}
 
 
+def test_a_class_with_null_ids_only_is_linked(spark):
+    words = [f"w{k}" for k in range(100)]
+    docs = spark.createDataFrame([(4, " ".join(words)), (None, " ".join([*words[:-1], "other"])), (7, "far from all of these")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()} == {(4, 4, True), (None, 4, False), (7, 7, True)}
+
+
 def brute_components(texts: dict[int, str], percent: int) -> dict[int, int]:
     sets = {}
     for i, t in texts.items():
