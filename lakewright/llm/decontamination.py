@@ -76,9 +76,12 @@ def _alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     of_items = items.select("item_no", "item")
     if item_seeds.count() <= BROADCAST_SEEDS:
         # a text's tokens stay beside its seeds: rows without a hit end before anything is copied
-        hits = _seed_rows(docs, "id", "tokens").join(F.broadcast(item_seeds), "seed").select("id", "tokens", "item_no", start)
+        numbered = docs.withColumn("text_no", F.xxhash64("tokens"))  # rows that share an id may differ in text
+        hits = _seed_rows(numbered, "id", "text_no", "tokens").join(F.broadcast(item_seeds), "seed")
+        hits = hits.select("id", "text_no", "tokens", "item_no", start)
         placed = hits.join(F.broadcast(of_items), "item_no")
-        return placed.groupBy("id", "item_no", "start").agg(F.first(_matches()).alias("matches"))
+        matches = placed.groupBy("id", "text_no", "item_no", "start").agg(F.first(_matches()).alias("matches"))
+        return matches.drop("text_no")
     # many seeds: only numbers are shuffled, then the texts with hits are read again
     hits = _seed_rows(docs, "id").join(item_seeds, "seed").select("id", "item_no", start).distinct()
     read_again = docs.withColumnRenamed("id", "_id")

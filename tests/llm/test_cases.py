@@ -164,6 +164,17 @@ def test_contaminated_rows(spark, odd, none, monkeypatch, seeds):
     assert decontamination.without_contaminated(docs, items).count() == docs.count() - 3
 
 
+@pytest.mark.parametrize("seeds", [decontamination.BROADCAST_SEEDS, 0])
+def test_texts_that_share_an_id_are_matched_each(spark, monkeypatch, seeds):
+    monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", seeds)
+    partly = " ".join([*PASSAGE.split()[:13], "x", "y", "z"])
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    for id in (5, None):
+        for texts in ([partly, PASSAGE], [PASSAGE, partly]):
+            docs = spark.createDataFrame([(id, t) for t in texts], "doc_id long, text string").coalesce(1)
+            assert [(r.doc_id, r.matched, r.start) for r in decontamination.contaminated(docs, items).collect()] == [(id, 16, 0)]
+
+
 def test_boilerplate_lines(spark, odd, none):
     pages = [(k, f"menu\nown line {k}\n\nmenu ", "s", 7) for k in range(4)] + [(9, None, "s", 7), (10, "menu", "t", 7), (11, "", None, 7), (12, "menu", None, 7)]
     frame = spark.createDataFrame(pages, "doc_id long, text string, source string, n_lines int")
