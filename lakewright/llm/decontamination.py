@@ -98,7 +98,8 @@ def contaminated(
     text begins within the item), ``matched`` the equal tokens; of several places the
     one with the most counts, then the first. Items with equal tokens are one, under the
     smallest id, and ``n_items`` counts them. Items of 8 to 12 tokens are one window and
-    may differ in one token; shorter items and null or empty texts are never found.
+    may differ in one token, which the masks do not find at every place of items of 8 or
+    9; shorter items and null or empty texts are never found.
     Rows that repeat an id add up to one row per item; a null id is an id like others.
     """
     items = settled(distinct_items(benchmark, item_id, item_text), "items")
