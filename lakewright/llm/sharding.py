@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewright.llm.tables import settled
+from lakewright.llm.tables import settled, unused
 
 ROUNDS = 8
 # Two primes just below 2^31: products of two numbers below them fit a long.
@@ -65,12 +65,18 @@ def walk_length(spark: SparkSession, n: int, seed: int) -> int:
     """How often the network must be applied at most so that every number below ``n`` comes back below it.
 
     Only the fewer than sqrt(n) + 1 numbers beyond ``n`` can prolong a walk, so only those are followed.
+    They lie on paths that come from below ``n`` and lead back, each of which loses one number at every
+    step until it is over, and on closed cycles, which no walk from below ``n`` ever enters. So once a
+    step loses none, only cycles are left.
     """
     a, b = sides(n)
-    outside, steps = spark.range(n, a * b).select(F.col("id").alias("p")), 1
-    while outside.limit(1).count():
-        steps += 1
-        outside = outside.select(_network(F.col("p"), a, b, seed).alias("p")).filter(F.col("p") >= n)
+    outside, before, steps = spark.range(n, a * b).select(F.col("id").alias("p")), a * b - n, 1
+    while before:
+        outside = settled(outside.select(_network(F.col("p"), a, b, seed).alias("p")).filter(F.col("p") >= n), "walks")
+        left = outside.count()
+        if left == before:
+            break
+        before, steps = left, steps + 1
     return steps
 
 
@@ -84,25 +90,26 @@ def permuted(row: Column, n: int, seed: int, steps: int) -> Column:
     return F.aggregate(again, first, lambda p, _: F.when(p < n, p).otherwise(_network(p, a, b, seed)))
 
 
-def numbered(df: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
-    """``df`` with ``row_no``, gapless from 0 in the order of ``keys``, and the number of rows.
+def numbered(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, int]:
+    """``df`` with the column ``name``, gapless from 0 in the order of ``keys``, and the number of rows.
 
     Rows that agree in all keys are told apart by their place in the input, so that any
     number of them is spread over ranges; which of them gets which number may differ
     from run to run.
     """
-    ordered = df.withColumn("_tie", F.monotonically_increasing_id())
-    ordered = ordered.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
-    placed = settled(ordered.withColumn("_place", F.monotonically_increasing_id()), "row-numbers")
-    placed = placed.withColumn("_range", F.shiftright("_place", PLACE_BITS))
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    n = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
+    tie, place, part, start = unused([*df.columns, name], "_tie", "_place", "_range", "_start")
+    ordered = df.withColumn(tie, F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie).drop(tie)
+    placed = settled(ordered.withColumn(place, F.monotonically_increasing_id()), "row-numbers")
+    placed = placed.withColumn(part, F.shiftright(place, PLACE_BITS))
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start))
+    n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     # one row per range of the shuffle, whatever the table holds
-    joined = placed.join(F.broadcast(starts), "_range")
-    row = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    return joined.withColumn("row_no", row).drop("_place", "_range", "_start"), n
+    joined = placed.join(F.broadcast(starts), part)
+    row = F.col(start) + F.col(place).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return joined.withColumn(name, row).drop(place, part, start), n
 
 
 def feistel_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 20240229) -> DataFrame:
@@ -111,8 +118,10 @@ def feistel_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 2024
     Shard sizes differ by one row at most. The result depends on the rows' order by
     ``keys``, the number of rows and the seed only, not on partitions. Null keys sort
     first. Rows alike in all keys are each placed; an empty table gives no rows.
-    Columns named ``shard`` or ``slot`` are replaced.
+    Columns named ``shard`` or ``slot`` are replaced, all others stay.
     """
-    rows, n = numbered(df.drop("shard", "slot", "row_no"), keys)
-    placed = rows.withColumn("_p", permuted(F.col("row_no"), n, seed, walk_length(df.sparkSession, n, seed)))
-    return placed.withColumns({"shard": (F.col("_p") % shards).cast("int"), "slot": F.expr(f"_p div {shards}")}).drop("_p", "row_no")
+    kept = df.drop("shard", "slot")
+    row_no, p = unused([*kept.columns, "shard", "slot"], "_row_no", "_p")
+    rows, n = numbered(kept, keys, row_no)
+    placed = rows.withColumn(p, permuted(F.col(row_no), n, seed, walk_length(df.sparkSession, n, seed)))
+    return placed.withColumns({"shard": (F.col(p) % shards).cast("int"), "slot": F.expr(f"{p} div {shards}")}).drop(p, row_no)

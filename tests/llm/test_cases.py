@@ -186,7 +186,7 @@ def test_boilerplate_lines(spark, odd, none):
     assert {r.text for r in line_dedup.drop_boilerplate(same).collect()} == {""}
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 23, 24, 25, 1000])
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 23, 24, 25, 307, 577, 1000])
 def test_shards(spark, n):
     frame = spark.range(n).select((F.col("id") % 7).alias("doc_id"), F.lit("x").alias("slot"), F.lit(None).cast("string").alias("shard"))
     rows = sharding.feistel_shards(frame, ["doc_id"], 24).collect()
@@ -198,6 +198,38 @@ def test_shards(spark, n):
     assert max(sizes) - min(sizes) <= 1
 
 
+def walks(n: int, seed: int) -> int:
+    """The longest walk from below ``n``, by whole numbers alone; checks that the walks are a permutation."""
+    a, b = sharding.sides(n)
+    p, steps, open_ = np.arange(n), 0, np.ones(n, bool)
+    while steps == 0 or open_.any():
+        left, right = p[open_] // b, p[open_] % b
+        for i, (k1, c1, k2, c2) in enumerate(sharding.round_keys(seed)):
+            told = (((left if i % 2 else right) * k1 + c1) % sharding.P1 * k2 + c2) % sharding.P2
+            left, right = (left, (right + told) % b) if i % 2 else ((left + told) % a, right)
+        p[open_], steps = left * b + right, steps + 1
+        open_ = p >= n
+    assert sorted(p) == list(range(n))
+    return steps
+
+
+@pytest.mark.parametrize("n", [0, 5, 307, 580, 1999])
+def test_walks_end_beside_closed_cycles(spark, n):
+    assert sharding.walk_length(spark, n, 20240229) == walks(n, 20240229)
+
+
+def test_walks_of_all_small_tables_are_short():
+    assert max(walks(n, 20240229) for n in range(2000)) < 30
+
+
+def test_shards_keep_columns_with_helper_names(spark):
+    names = ["_p", "_place", "_range", "_start", "_tie", "row_no", "_row_no", "_n"]
+    frame = spark.range(40).select(F.when(F.col("id") % 9 > 0, F.col("id") % 9).alias("key"), *[(F.col("id") * 3).alias(c) for c in names])
+    rows = sharding.feistel_shards(frame, ["key"], 7).collect()
+    assert sorted(r["_p"] for r in rows) == [3 * k for k in range(40)] and all(len({r[c] for c in names}) == 1 for r in rows)
+    assert sorted((r.shard, r.slot) for r in rows) == sorted((k % 7, k // 7) for k in range(40))
+
+
 def test_shuffle_does_not_depend_on_partitions(spark):
     frame = spark.range(500).select(F.col("id").alias("doc_id"))
     a = sharding.feistel_shards(frame.repartition(3), ["doc_id"], 24).collect()
