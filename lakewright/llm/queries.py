@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakewright.llm import quality_classifier, sentencepiece_codec, twins
 from lakewright.llm.decontamination import contaminated
 from lakewright.llm.embedding_dedup import near_duplicate_vectors
+from lakewright.llm.fill_in_middle import fill_in_middle, restore
 from lakewright.llm.license_scan import scan
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
@@ -132,6 +133,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's output and of the text rebuilt from it."""
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return restore(made).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
@@ -143,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 SQL: dict[str, str] = {
@@ -152,4 +163,5 @@ SQL: dict[str, str] = {
     "op8_line_dedup": twins.LINE_DEDUP,
     "op9_url_filter": twins.urls(URL_RULES),
     "op10_embedding_dedup": twins.EMBEDDING_DEDUP,
+    "op11_fill_in_middle": twins.FILL_IN_MIDDLE,
 }
