@@ -15,7 +15,9 @@ from lakewright.llm.license_scan import scan
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
+from lakewright.llm.suffix_dedup import remove_repeats
 from lakewright.llm.tables import table
+from lakewright.llm.token_alignment import alignment, read_tokenizers
 from lakewright.llm.token_counts import count_tokens, read_ranks
 from lakewright.llm.url_filter import filter_urls, rule_frame
 
@@ -142,6 +144,21 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that also start elsewhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = remove_repeats(docs, kept_as=lambda kept: F.sha2(kept, 256), name="kept_sha256")
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two public vocabularies."""
+    import public_tokenizers
+
+    files = read_tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment(table(spark, sf_dir, "documents").select("doc_id", "text"), *files)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
@@ -154,6 +171,8 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 SQL: dict[str, str] = {

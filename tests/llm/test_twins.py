@@ -32,7 +32,7 @@ def test_equals_sql(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 12))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_quality_scores_every_document(spark, docs):
