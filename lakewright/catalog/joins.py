@@ -115,6 +115,11 @@ def point_in_time_monthly(spark: SparkSession, sf: str) -> DataFrame:
     return _point_in_time(spark, sf, "monthly")
 
 
+@query("jon_03_point_in_time_sweep", PIT_SQL)
+def point_in_time_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    return _point_in_time(spark, sf, "sweep")
+
+
 @query(
     "jon_03_point_in_time_half_open",
     f"""WITH {HISTORY} SELECT o.o_orderkey, h.effective_date::varchar AS version_from FROM orders o

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.operators.asof import sweep_join
 from lakewright.operators.skew import planned_bytes, BROADCAST_LIMIT_BYTES, salted_join, small
 
 
@@ -15,6 +16,11 @@ def all_equal(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 
 
+def all_same(left: str, right: str, keys: Sequence[str]) -> Column:
+    """As ``all_equal``, with NULL a key like others."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def any_differs(left: str, right: str, columns: Sequence[str]) -> Column:
     """Some column differs, where NULL and a value differ and two NULLs do not."""
     return reduce(
@@ -58,11 +64,15 @@ def pit_join(
     The keys are an equality, the validity interval a residual condition.
     ``method`` chooses the physical form; all give the same rows:
 
-    - ``broadcast``: the facts do not move;
+    - ``plain``: an ordinary join, which Spark broadcasts while the versions' size,
+      measured at run time, is under its own threshold;
+    - ``broadcast``: the same with a hint, if the planned size is under the limit;
     - ``salted``: shuffled on the keys, with the facts of crowded keys spread;
     - ``monthly``: versions are repeated per month they cover and joined on key
       and month, so a key with very many versions compares only those of a month;
-    - ``auto``: broadcast under the size limit, otherwise salted.
+    - ``sweep``: facts and version starts in one order, with work for their sum
+      (see ``asof.sweep_join``, which wants versions that do not overlap);
+    - ``auto``: plain while the versions are planned to be small, otherwise a sweep.
     """
     columns = [*keys, start, end, current, *take]
     versions = dim.select(*dict.fromkeys(columns))
@@ -72,9 +82,12 @@ def pit_join(
         return _valid_at(at, start, end, current, end_inclusive, l, r)
 
     if method == "auto":
-        method = "broadcast" if planned_bytes(versions) <= BROADCAST_LIMIT_BYTES else "salted"
-    if method == "broadcast":
-        joined = fact.alias("l").join(F.broadcast(versions).alias("r"), all_equal("l", "r", keys) & valid("l", "r"), "left")
+        method = "plain" if planned_bytes(versions) <= BROADCAST_LIMIT_BYTES else "sweep"
+    if method == "sweep":
+        return sweep_join(fact, versions, keys, at, take, start, end, current, end_inclusive)
+    if method in ("plain", "broadcast"):
+        side = small(versions) if method == "broadcast" else versions
+        joined = fact.alias("l").join(side.alias("r"), all_equal("l", "r", keys) & valid("l", "r"), "left")
     elif method == "salted":
         joined = salted_join(fact, versions, keys, "left", valid)
     elif method == "monthly":
@@ -121,6 +134,16 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return values.join(known, column, "left_anti")
 
 
+def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """The child rows whose value the parent lacks; NULL is no orphan.
+
+    The values that are missing are found on distinct keys. Their list, not the parent, is
+    then joined with the child rows, so a sound child table moves no row.
+    """
+    missing = orphans(child, column, parent, parent_column).withColumnRenamed(column, "_missing")
+    return child.join(missing, F.col(column) == F.col("_missing"), "left_semi")
+
+
 def flag_dates(
     df: DataFrame,
     at: str,

@@ -43,7 +43,7 @@ def test_point_in_time_forms_agree(lopsided):
     log = lopsided.filter("k is not null").select("k", "d", "v", "id")
     dim = scd2_from_log(log, ["k"], ["v"], "d", ["id"])
     assert set(scd2_invariants(dim, ["k"]).first()) == {0}
-    forms = [pit_join(lopsided, dim, ["k"], "d", {"v": "then"}, method=m).select("id", "then") for m in ("broadcast", "salted", "monthly")]
+    forms = [pit_join(lopsided, dim, ["k"], "d", {"v": "then"}, method=m).select("id", "then") for m in ("broadcast", "salted", "monthly", "plain", "sweep")]
     assert forms[0].count() == N
     for other in forms[1:]:
         assert table_difference(forms[0], other).count() == 0
