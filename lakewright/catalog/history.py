@@ -13,10 +13,13 @@ from lakewright.catalog.joins import CUTS, HISTORY, TRACKED, at_first, at_second
 from lakewright.catalog.sources import FEATURES, NAMES
 from lakewright.functions.dates import moment
 from lakewright.operators.history import (
+    SEEN,
     prepare_versions,
     scd2_apply,
     scd2_invariants,
+    scd2_open,
     scd2_plan,
+    scd2_repair,
     scd2_statistics,
     snapshot,
     snapshot_start,
@@ -226,6 +229,26 @@ def scd2_again(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_apply(once, later, ["o_custkey"], TRACKED, THIRD_DAY).select("o_custkey", "effective_date", "end_date")
 
 
+@query(
+    "inc_06_scd2_late_batches",
+    f"""WITH {HISTORY} SELECT o_custkey, o_orderpriority, o_orderstatus, effective_date::varchar AS effective_date,
+          end_date::varchar AS end_date, is_current FROM history""",
+)
+def late_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Finished orders arrive last and the oldest of the others second, so most batches change the past."""
+    orders = table(spark, sf, "orders")
+    finished, old = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False)), F.col("o_orderdate") < moment(date(1999, 1, 1), "timestamp_ntz")
+    batches = [orders.filter(~finished & ~old), orders.filter(~finished & old), orders.filter(finished)]
+    log = (["o_custkey"], TRACKED, "o_orderdate", ["o_orderkey"])
+    path = scratch_path(spark, "late-0")
+    scd2_open(batches[0], *log).write.parquet(path)
+    for n, batch in enumerate(batches[1:], 1):
+        after = scratch_path(spark, f"late-{n}")
+        scd2_repair(read_table(spark, path), batch, *log).write.parquet(after)
+        path = after
+    return read_table(spark, path).drop(SEEN)
+
+
 @query(
     "inc_07_prepared_batch",
     """SELECT sha256(concat_ws('|', c_custkey::varchar, '2001-09-01')) AS customer_sk, c_custkey, c_name, c_mktsegment,

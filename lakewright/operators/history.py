@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakewright.functions.dates import moment
 from lakewright.functions.keys import hash_key
-from lakewright.operators.joins import all_equal, any_differs
+from lakewright.operators.joins import all_same, any_differs
 from lakewright.operators.windows import keep_latest
 
 VALIDITY = ("effective_date", "end_date", "is_current")
@@ -39,14 +39,16 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
 
     ``incoming`` has the dimension's columns (see ``prepare_versions``) and one
     row per key. Tags: ``history``, ``kept``, ``expired``, ``replaced`` (changed
-    again on the day it was opened), ``new_version``, ``new_entity``. A batch that would
-    change a version opened after ``as_of`` stops the job: load batches in order of
-    their days, or rebuild the history with ``scd2_from_log``.
+    again on the day it was opened), ``new_version``, ``new_entity``. NULL is a key like
+    others. A batch that would change a version opened after ``as_of`` stops the job,
+    whichever columns are read: load batches in order of their days, or keep a history
+    that ``scd2_repair`` can change.
     """
     names = dim.columns
     opened = dim.filter("is_current").alias("o")
-    known = dim.filter(~F.col("is_current")).select(*keys).distinct().withColumn("_known", F.lit(True))
-    arriving = incoming.select(*names).withColumn("_arrived", F.lit(True)).join(known, list(keys), "left").alias("n")
+    known = dim.filter(~F.col("is_current")).select(*keys).distinct().withColumn("_known", F.lit(True)).alias("k")
+    arrived = incoming.select(*names).withColumn("_arrived", F.lit(True)).alias("a")
+    arriving = arrived.join(known, all_same("a", "k", keys), "left").select("a.*", "k._known").alias("n")
     day = moment(as_of, "date")
 
     has_old, has_new = F.col("o.is_current").isNotNull(), F.col("n._arrived").isNotNull()
@@ -58,11 +60,11 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
             tag.alias(ACTION), *[changes.get(c, F.col(f"{side}.{c}")).alias(c) for c in names]
         )
 
-    changed = has_old & has_new & differs
-    late = changed & (F.col("o.effective_date") > day)
+    would_change = has_old & has_new & differs
+    late = would_change & (F.col("o.effective_date") > day)
     refused = F.raise_error(F.concat(F.lit("late batch: a version is open since "), F.col("o.effective_date").cast("string")))
-    # in the date and not in the tag, which callers may drop
-    opened_on = F.when(late, refused.cast("date")).otherwise(F.col("n.effective_date"))
+    # decides which rows there are, so no choice of columns leaves it out
+    changed = F.when(late, refused.cast("boolean")).otherwise(would_change)
     expired = row("o", F.lit("expired"), end_date=F.date_sub(day, 1), is_current=F.lit(False))
     kept = row("o", F.lit("kept"))
     first_seen = F.when(F.col("n._known"), F.lit("new_version")).otherwise(F.lit("new_entity"))
@@ -70,11 +72,11 @@ def scd2_plan(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked:
     versions = F.array_compact(
         F.array(
             F.when(changed & ~same_day, expired).when(has_old & ~changed, kept),
-            F.when(has_new & (changed | ~has_old), row("n", new_tag, effective_date=opened_on)),
+            F.when(has_new & (changed | ~has_old), row("n", new_tag)),
         )
     )
     moved = (
-        opened.join(arriving, all_equal("o", "n", keys), "full")
+        opened.join(arriving, all_same("o", "n", keys), "full")
         .select(F.explode(versions).alias("_v"))
         .select("_v.*")
     )
@@ -133,6 +135,59 @@ def scd2_from_log(
     )
 
 
+SEEN = "_seen"
+
+
+def scd2_open(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], at: str, tie_breakers: Sequence[str]) -> DataFrame:
+    """The history of ``scd2_from_log`` with ``_seen``: what ``scd2_repair`` needs to change it later.
+
+    ``_seen`` lists for every day on which the version's state was observed the time and
+    tie-breakers of the day's last change, so it is no longer than the calendar.
+    """
+    return _versions(_marked(log, keys, tracked, at, tie_breakers), keys, tracked, len(tie_breakers))
+
+
+def scd2_repair(
+    dim: DataFrame, log: DataFrame, keys: Sequence[str], tracked: Sequence[str], at: str, tie_breakers: Sequence[str]
+) -> DataFrame:
+    """The history after more of the change log, which may be older than what is known.
+
+    A late change splits the version that covers its day, ends it at the next day on which
+    another state was observed, and melts into an equal neighbour. Only keys of the batch
+    are worked on; the versions of all others pass by. Batches in any order, repeated ones
+    included, give the history that their whole log gives. NULL is a key like others.
+    ``dim`` comes from ``scd2_open`` or from here and is read twice.
+    """
+    touched = log.select(*keys).distinct().withColumn("_hit", F.lit(True)).alias("t")
+    flagged = dim.alias("d").join(touched, all_same("d", "t", keys), "left").select("d.*", "t._hit")
+    n = len(tie_breakers) + 1
+    observed = flagged.filter("_hit").select(*keys, *tracked, F.explode(SEEN).alias("_mark"))
+    observed = observed.select(*keys, *tracked, *[F.col(f"_mark._m{i}").alias(f"_m{i}") for i in range(n)])
+    rebuilt = _versions(observed.unionByName(_marked(log, keys, tracked, at, tie_breakers)), keys, tracked, len(tie_breakers))
+    return flagged.filter("_hit IS NULL").drop("_hit").unionByName(rebuilt)
+
+
+def _marked(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], at: str, tie_breakers: Sequence[str]) -> DataFrame:
+    return log.select(*keys, *tracked, *[F.col(c).alias(f"_m{i}") for i, c in enumerate([at, *tie_breakers])])
+
+
+def _versions(observed: DataFrame, keys: Sequence[str], tracked: Sequence[str], n_ties: int) -> DataFrame:
+    marks = [f"_m{i}" for i in range(n_ties + 1)]
+    daily = keep_latest(observed.withColumn("effective_date", F.to_date("_m0")), [*keys, "effective_date"], "_m0", marks[1:])
+    series = Window.partitionBy(*keys).orderBy("effective_date")
+    state = F.struct(*tracked)
+    before = F.lag(state).over(series)
+    opens = (before.isNull() | ~before.eqNullSafe(state)).cast("int")
+    runs = daily.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(series))
+    versions = runs.groupBy(*keys, "_run").agg(
+        *[F.first(c).alias(c) for c in tracked], F.min("effective_date").alias("effective_date"), F.sort_array(F.collect_list(F.struct(*marks))).alias(SEEN)
+    )
+    following = F.lead("effective_date").over(series)
+    return versions.select(
+        *keys, *tracked, "effective_date", F.date_sub(following, 1).alias("end_date"), following.isNull().alias("is_current"), SEEN
+    )
+
+
 def scd2_invariants(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts that are all zero for a sound dimension, from one grouping."""
     per_key = dim.groupBy(*keys).agg(
