@@ -107,10 +107,9 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
         if delivery == 2:
             append_table(messages, log)
         stream = table_stream(spark, log, messages.schema, max_files=100)
-        events = clean_events(parse_messages(stream, EVENT_SCHEMA))
-        run_available(
-            start_upsert(events, out, checkpoint, ["event_id"], "event_ts", ["ingestion_ts", "content_id"], every=None)
-        )
+        events = clean_events(parse_messages(stream, EVENT_SCHEMA)).withColumn("event_day", F.to_date("event_ts"))
+        ties = ["ingestion_ts", "content_id"]
+        run_available(start_upsert(events, out, checkpoint, ["event_id"], "event_ts", ties, ["event_day"], every=None))
     return read_table(spark, out).select(
         "event_id", "event_type", "user_id", "content_id", "event_ts", "event_hour", "is_mobile", "is_viral_content_type"
     )

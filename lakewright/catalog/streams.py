@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from lakewright.sources.files import read_table
 from lakewright.sources.streams import table_stream
 from lakewright.streaming.events import clean_events, first_of_each, route_events, split_late, start_routed
 from lakewright.streaming.features import content_features, user_features
+from lakewright.streaming.keyed import DAY, EVENTS, refresh_days, start_unique
 from lakewright.streaming.ingest import parse_messages, run_available, start_append
 
 
@@ -65,6 +67,22 @@ def watermarked_features(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(stream, "features")
 
 
+@query("str_02_features_in_many_triggers", f"WITH {FEATURES.format(width='5 minutes')} SELECT {FEATURE_COLUMNS} FROM scored")
+def features_in_many_triggers(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in no order of time, a few a trigger, and each event twice: every trigger refreshes the days it falls into."""
+    log, root = scratch_path(spark, "keyed-log"), scratch_path(spark, "keyed")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    events.unionByName(events).repartition("event_id").write.option("maxRecordsPerFile", 500_000).parquet(log)
+
+    def refresh(session: SparkSession, unique: DataFrame, batch_id: int) -> None:
+        refresh_days(session, f"{root}/{EVENTS}", f"{root}/features", unique, datetime(2025, 1, 1), at="ts", names=NAMES)
+
+    a_year = 366 * 24 * 60
+    stream = table_stream(spark, log, events.schema, max_files=4)
+    run_available(start_unique(stream, root, scratch_path(spark, "keyed-state"), ["event_id"], "ts", ["user_id"], a_year, every=None, after=refresh))
+    return read_table(spark, f"{root}/features").drop("created_at", DAY)
+
+
 @query(
     "str_03_late_rows_routed",
     """WITH newest AS (SELECT max(ts) AS t FROM events WHERE event_type = 'click')

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewright.functions.classify import MOBILE_DEVICES, VIRAL_CONTENT, in_codes
 from lakewright.functions.dates import iso_timestamp
 from lakewright.functions.text import trimmed
+from lakewright.operators.aggregates import conjunction
 from lakewright.operators.filters import has_keys, split_valid
 from lakewright.operators.incremental import rows_to_insert
 from lakewright.operators.projections import drop_present
 from lakewright.operators.windows import keep_latest
-from lakewright.sinks.tables import append_table, reused
+from lakewright.sinks.tables import append_table, compact_partitions, reused
 from lakewright.sources.files import read_table, table_exists
 from lakewright.streaming.ingest import ENVELOPE, LOADED_AT
 
@@ -25,8 +27,6 @@ CONTENT_TYPES = ("video", "image", "text", "reel")
 EVENT_KEYS = ("event_id", "user_id", "content_id", "event_type")
 WATERMARK = "10 minutes"
 
-BROADCAST_BATCH_ROWS = 1_000_000
-
 
 def event_rules(event_types: Sequence[str] = EVENT_TYPES, content_types: Sequence[str] = CONTENT_TYPES) -> dict[str, Column]:
     """What a good event meets, by rule name."""
@@ -92,18 +92,33 @@ def first_of_each(stream: DataFrame, keys: Sequence[str], at: str, watermark: st
     return stream.withWatermark(at, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def new_events(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order_by: str, tie_breakers: Sequence[str]) -> DataFrame:
+def touched(batch: DataFrame, columns: Sequence[str]) -> Column:
+    """A filter on the values of ``columns`` that a batch has: as many as the partitions it falls into, such as days.
+
+    A literal filter, so the table's other partitions are not even listed as input.
+    """
+    rows = batch.select(*columns).distinct().collect()
+    if len(columns) == 1:
+        values = [r[0] for r in rows if r[0] is not None]
+        found = F.col(columns[0]).isin(values)
+        return found | F.col(columns[0]).isNull() if len(values) < len(rows) else found
+    each = [conjunction([F.col(c).eqNullSafe(F.lit(r[c])) for c in columns]) for r in rows]
+    return reduce(lambda x, y: x | y, each, F.lit(False))
+
+
+def new_events(
+    existing: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: str, tie_breakers: Sequence[str], within: Sequence[str] = ()
+) -> DataFrame:
     """Batch rows whose key the table lacks, one per key.
 
-    A rate-limited micro-batch is small next to the table. While its counted rows
-    allow it, the batch's keys are broadcast: the table is scanned for its key
-    columns only and not shuffled. A bigger batch shuffles both.
+    ``within`` are partition columns that a key determines, such as the day of an event:
+    only the partitions that the batch falls into are read, and of those the key columns.
+    Which side moves is left to Spark, which knows the stored batch's size.
     """
-    if not table_exists(spark, path):
+    if existing is None:
         return keep_latest(batch, keys, order_by, tie_breakers)
-    stored = read_table(spark, path).select(*keys)
-    if batch.count() <= BROADCAST_BATCH_ROWS:
-        stored = stored.join(F.broadcast(batch.select(*keys).distinct()), list(keys), "left_semi")
+    there = existing.filter(touched(batch, within)) if within else existing
+    stored = there.select(*keys).join(batch.select(*keys).distinct(), list(keys), "left_semi")
     return rows_to_insert(stored, batch, keys, order_by, tie_breakers)
 
 
@@ -116,13 +131,23 @@ def start_upsert(
     tie_breakers: Sequence[str],
     partition_by: Sequence[str] = (),
     every: str | None = "30 seconds",
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Insert-if-absent of each micro-batch; running a batch twice adds nothing."""
+    """Insert-if-absent of each micro-batch; running a batch twice adds nothing.
+
+    ``partition_by`` are columns that a key determines; a batch then reads and writes its
+    own partitions only. Every ``compact_every`` batches the small files of a partition
+    that this batch falls into become few.
+    """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         with reused(batch) as kept:
-            fresh = new_events(batch.sparkSession, path, kept, keys, order_by, tie_breakers)
+            existing = read_table(spark, path) if table_exists(spark, path) else None
+            fresh = new_events(existing, kept, keys, order_by, tie_breakers, partition_by)
             append_table(fresh, path, partition_by)
+            if compact_every and partition_by and batch_id % compact_every == compact_every - 1:
+                compact_partitions(spark, path, partition_by, touched(kept, partition_by))
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
