@@ -2,7 +2,8 @@
 
 A suite compiles to one aggregation per table for all checks that look at rows
 or whole-column aggregates, plus one small plan for each check that has to group
-or join. Nothing is collected until ``gate``.
+or join. Nothing is collected until ``gate``, but a quantile check stores and sizes its
+values while the suite is built.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from lakewright.functions.dates import moment
 from lakewright.operators.aggregates import conjunction, repeated_keys, rows_per_key
-from lakewright.operators.joins import orphans
+from lakewright.operators.joins import orphan_rows, orphans
 from lakewright.operators.ranks import exact_quantile
 from lakewright.sinks.tables import overwrite_table
 
@@ -79,8 +80,8 @@ def bad_rows(check: Check) -> Column:
     return F.coalesce(ROW_RULES[check.kind](check), F.lit(False))
 
 
-def failing_rows(df: DataFrame, check: Check) -> DataFrame:
-    """The rows that break a row rule, with the reason."""
+def failing_rows(df: DataFrame, check: Check, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows that break a row rule, with the reason. A relationship needs ``tables`` for its parent."""
     rows = df.filter(check.where) if check.where else df
     if check.kind in ROW_RULES:
         return rows.filter(bad_rows(check)).withColumn("reason", F.lit(check.name))
@@ -88,6 +89,9 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
         keys = list(check.needs)
         # NULL keys repeat one another in a primary key, but not under a unique rule
         return repeated_keys(rows.na.drop(subset=keys) if check.kind == "unique" else rows, keys).withColumn("reason", F.lit(check.name))
+    if check.kind == "relationship" and tables:
+        parent = tables[str(check.args["parent"])]
+        return orphan_rows(rows, check.column, parent, str(check.args["parent_column"])).withColumn("reason", F.lit(check.name))
     raise ValueError(f"'{check.kind}' does not judge single rows")
 
 
@@ -261,7 +265,7 @@ def store_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check], roo
     paths = {}
     for check in checks:
         paths[check.name] = f"{root}/{check.table}/{check.name}"
-        overwrite_table(failing_rows(tables[check.table], check), paths[check.name], evolve=True)
+        overwrite_table(failing_rows(tables[check.table], check, tables), paths[check.name], evolve=True)
     return paths
 
 
