@@ -25,6 +25,7 @@ from lakewright.operators.quality import (
 from lakewright.plans.labour import dimension_history, geo_dimension, headline, mart_checks, monthly_fact, trend_mart
 from lakewright.plans.rentals import ROOM_TYPES, hosts_cleansed, listings_cleansed, listings_with_hosts
 from lakewright.session import scratch_path
+from lakewright.sinks.tables import ConstraintBroken, latest_version, publish_version
 from lakewright.sources.files import read_table
 
 AS_OF = datetime(2002, 1, 1)
@@ -341,6 +342,32 @@ def enforced_constraint(spark: SparkSession, sf: str) -> DataFrame:
     return orders.select("o_orderkey", "o_totalprice")
 
 
+@query(
+    "dq_20_refused_write",
+    """SELECT 1 AS attempt, 'published' AS outcome, 0::BIGINT AS broken_rows, count(*) AS readable_rows, sum(o_totalprice)::double AS readable_total FROM orders
+       UNION ALL SELECT 2, CASE WHEN count(*) FILTER (WHERE o_totalprice < 20000) > 0 THEN 'refused' ELSE 'published' END,
+         count(*) FILTER (WHERE o_totalprice < 20000), count(*), sum(o_totalprice)::double FROM orders""",
+)
+def refused_write(spark: SparkSession, sf: str) -> DataFrame:
+    """A table whose prices may not be negative: a write that breaks the rule is refused and the old rows stay readable."""
+    root = scratch_path(spark, "guarded")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_totalprice").alias("rest"))
+    rules, told = {"rest": F.col("rest") >= 0}, []
+    for attempt, frame in enumerate((orders, orders.withColumn("rest", F.col("rest") - 20000)), 1):
+        try:
+            publish_version(frame, root, "guarded_orders", constraints=rules)
+            outcome, broken = "published", 0
+        except ConstraintBroken as error:
+            outcome, broken = "refused", error.broken["rest"]
+        readable = read_table(spark, latest_version(spark, root))
+        told.append(
+            readable.agg(F.count(F.lit(1)).alias("readable_rows"), F.sum("o_totalprice").alias("readable_total")).select(
+                F.lit(attempt).alias("attempt"), F.lit(outcome).alias("outcome"), F.lit(broken).cast("long").alias("broken_rows"), "readable_rows", "readable_total"
+            )
+        )
+    return told[0].unionByName(told[1])
+
+
 @query(
     "dq_21_stored_failures",
     """SELECT 'balance_from_zero' AS check_name, c_custkey::varchar AS row_key FROM customer WHERE c_acctbal < 0
@@ -360,6 +387,17 @@ def stored_failures(spark: SparkSession, sf: str) -> DataFrame:
     return balances.unionByName(lines)
 
 
+@query(
+    "dq_21_stored_orphans",
+    """SELECT doc_id, source, 'labelled' AS reason FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)""",
+)
+def stored_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents themselves that no label knows, stored as the failures of a relationship."""
+    tables = {name: table(spark, sf, name).select(*columns) for name, columns in (("documents", ("doc_id", "source")), ("labels", ("doc_id",)))}
+    check = Check("documents", "labelled", "relationship", "doc_id", args={"parent": "labels", "parent_column": "doc_id"})
+    return read_table(spark, store_failures(tables, [check], scratch_path(spark, "orphans"))["labelled"])
+
+
 @query(
     "dq_22_gate",
     """SELECT count(*) AS orders, sum(o_totalprice::decimal(18,2))::double AS total FROM orders""",

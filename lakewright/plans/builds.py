@@ -18,7 +18,16 @@ from lakewright.operators.history import scd2_invariants
 from lakewright.operators.quality import Check, gate, query_test, run_suite
 from lakewright.plans import labour, rentals
 from lakewright.plans.engagement import EVENT_SCHEMA
-from lakewright.sinks.tables import append_table, latest_version, overwrite_table, publish_version, write_verified
+from lakewright.sinks.tables import (
+    append_table,
+    audit_rows,
+    latest_version,
+    overwrite_table,
+    publish,
+    publish_version,
+    write_verified,
+    write_version,
+)
 from lakewright.sources.files import read_raw_csv, read_table, table_exists
 from lakewright.streaming.events import clean_events, start_upsert
 from lakewright.streaming.features import user_features
@@ -71,26 +80,32 @@ def build_labour(
     }
     clean: dict[str, DataFrame] = {}
     frames: dict[str, DataFrame] = {}
+    written: list[str] = []
     for name, (path, drops, names, key) in shapes.items():
         raw = labour.raw_layer(read_raw_csv(spark, path), drops, path, loaded_at)
-        raw_path, clean_path = tables.at(f"raw/{name}"), tables.at(f"clean/{name}")
-        write_verified(raw, raw_path, ["ingestion_year", "ingestion_month"], rebalance=False)
-        stored = read_table(spark, raw_path, raw.schema)
+        written.append(write_version(raw, tables.at(f"raw/{name}"), ["ingestion_year", "ingestion_month"], rebalance=False))
+        stored = read_table(spark, written[-1], raw.schema)
         rows = labour.clean_layer(stored, names, key)
-        write_verified(rows, clean_path, ["ref_year", "ref_month"])
-        clean[name] = frames[name] = read_table(spark, clean_path, rows.schema)
+        written.append(write_version(rows, tables.at(f"clean/{name}"), ["ref_year", "ref_month"]))
+        clean[name] = frames[name] = read_table(spark, written[-1], rows.schema)
         # the clean table has one row per key, so that is what the arrived rows are counted by
         arrived_key = [old for old, new in names.items() if new in (*key, "ref_date_raw")]
         frames[f"{name}_arrived"] = stored.select(*arrived_key).distinct()
     results = gate(run_suite(frames, labour_checks(max_null_rate), datetime(as_of.year, as_of.month, as_of.day)))
+    # readers see the new layers only now that they have passed
+    for path in written:
+        publish(spark, path)
+    finished = {"raw_and_clean": datetime.now()}
 
     dim_root = tables.at("gold/dim_employment")
     batch = labour.dimension_batch(clean["province"], as_of)
     previous = latest_version(spark, dim_root)
     dim = batch if previous is None else labour.update_dimension(read_table(spark, previous, batch.schema), batch, as_of)
-    dim_path = publish_version(dim, dim_root, "dim_employment", ["is_current"])
+    dim_path = write_version(dim, dim_root, ["is_current"])
     broken = scd2_invariants(read_table(spark, dim_path, batch.schema), labour.DIMENSION_KEY)
     gate(query_test(broken.filter(" OR ".join(f"{c} > 0" for c in broken.columns)), "dim_employment", "invariants"))
+    publish(spark, dim_path, "dim_employment")
+    finished["dim_employment"] = datetime.now()
 
     rows = labour.headline(clean["province"])
     overwrite_table(labour.geo_dimension(rows), tables.at("gold/dim_geo"))
@@ -99,7 +114,10 @@ def build_labour(
     mart = labour.trend_mart(*(read_table(spark, tables.at(f"gold/{n}")) for n in ("fact", "history", "dim_geo")))
     write_verified(mart, tables.at("gold/mart"), ["ref_year"])
     counts = labour.mart_checks(read_table(spark, tables.at("gold/mart"), mart.schema))
-    return results + gate(query_test(counts.filter("repeated_keys > 0"), "mart", "grain"))
+    results += gate(query_test(counts.filter("repeated_keys > 0"), "mart", "grain"))
+    finished["mart"] = datetime.now()
+    append_table(audit_rows(spark, finished), tables.at("audit"))
+    return results
 
 
 def start_engagement(

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakewright.session import stored
 from lakewright.sources.files import read_table, table_exists
 
 
@@ -75,6 +75,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def compact_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], where: Column) -> None:
+    """Rewrite the partitions that ``where`` names with few files. Not while another job writes to them.
+
+    The rows are stored in the scratch folder first, so they are not read from what is replaced.
+    """
+    overwrite_partitions(stored(read_table(spark, path).filter(where), "compaction"), path, partition_by)
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a table, or start it. Other columns or types are refused."""
     if table_exists(df.sparkSession, path):
@@ -93,10 +101,10 @@ def write_verified(
     spark = df.sparkSession
     seen = Observation()
     overwrite_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by, evolve, rebalance=rebalance)
-    written, stored = seen.get["rows"], read_table(spark, path).count()
-    if written != stored:
-        raise WriteMismatch(f"{path}: wrote {written} rows, read back {stored}")
-    return stored
+    written, there = seen.get["rows"], read_table(spark, path).count()
+    if written != there:
+        raise WriteMismatch(f"{path}: wrote {written} rows, read back {there}")
+    return there
 
 
 def register_table(
@@ -122,32 +130,77 @@ def register_table(
     return spark.table(name)
 
 
+class ConstraintBroken(RuntimeError):
+    """A frame breaks rules of the table it was written for; ``broken`` has the rows per rule."""
+
+    def __init__(self, path: str, broken: Mapping[str, int]):
+        super().__init__(f"{path}: " + ", ".join(f"{n} rows break '{rule}'" for rule, n in sorted(broken.items())))
+        self.broken = dict(broken)
+
+
+PUBLISHED = "_published"
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in fs.listStatus(path)] if fs.exists(path) else []
+
+
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """The newest complete version folder under a root, if there is one."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return None
-    found = [
-        (entry.getModificationTime(), entry.getPath().getName())
-        for entry in fs.listStatus(folder)
-        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
-    ]
-    return f"{root}/{max(found)[1]}" if found else None
-
-
-def publish_version(df: DataFrame, root: str, view: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new folder, then point the view at it.
-
-    Used where the frame is computed from the table it replaces: readers keep the
-    old version until the new one is complete, and a failed write changes nothing.
+    """The folder of the newest published version under a root, if there is one."""
+    found = _names(spark, f"{root}/{PUBLISHED}")
+    return f"{root}/{max(found)}" if found else None
+
+
+def write_version(
+    df: DataFrame, root: str, partition_by: Sequence[str] = (), constraints: Mapping[str, Column] | None = None, rebalance: bool = True
+) -> str:
+    """Write the next version folder of a table, which no reader sees before ``publish``; gives its path.
+
+    ``constraints`` are rules by name that every row has to meet (unknown passes). Their
+    violations and the rows are counted inside the write job; a broken rule or a row that
+    is not there afterwards raises, and the published version stays what it was.
     """
-    path = f"{root}/version-{uuid.uuid4().hex}"
-    overwrite_table(df, path, partition_by)
-    read_table(df.sparkSession, path).createOrReplaceTempView(view)
+    spark, rules = df.sparkSession, dict(constraints or {})
+    numbers = [int(name.split("-")[1]) for name in _names(spark, root) if name.startswith("version-")]
+    path = f"{root}/version-{max(numbers, default=0) + 1:012d}"
+    seen = Observation()
+    counts = [F.count_if(~F.coalesce(rule, F.lit(True))).alias(f"broken {name}") for name, rule in rules.items()]
+    overwrite_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), path, partition_by, rebalance=rebalance)
+    told = seen.get
+    broken = {name: told[f"broken {name}"] for name in rules if told[f"broken {name}"]}
+    if broken:
+        raise ConstraintBroken(path, broken)
+    there = read_table(spark, path, df.schema).count()
+    if there != told["rows"]:
+        raise WriteMismatch(f"{path}: wrote {told['rows']} rows, read back {there}")
     return path
 
 
+def publish(spark: SparkSession, path: str, view: str | None = None) -> str:
+    """Make a version the newest one of its table, by one empty file named after it, and point a view at it."""
+    root, name = path.rsplit("/", 1)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{PUBLISHED}/{name}")
+    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.createNewFile(marker):
+        raise WriteMismatch(f"{path} is published already")
+    if view:
+        read_table(spark, path).createOrReplaceTempView(view)
+    return path
+
+
+def publish_version(
+    df: DataFrame, root: str, view: str, partition_by: Sequence[str] = (), constraints: Mapping[str, Column] | None = None
+) -> str:
+    """Write a new version, then publish it.
+
+    Readers keep the old version until the new one is complete and meets the rules, so a
+    frame may be computed from the table it replaces, and a failed write changes nothing.
+    """
+    return publish(df.sparkSession, write_version(df, root, partition_by, constraints), view)
+
+
 def materialize(
     df: DataFrame,
     name: str,
