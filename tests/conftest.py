@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import signal
 import sys
 import tempfile
 from pathlib import Path
@@ -29,3 +30,24 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+#: Seconds after which a test fails and its jobs are cancelled, so that one endless test does not take the others down.
+LIMIT = 600
+
+
+@pytest.hookimpl(wrapper=True)
+def pytest_runtest_call(item):
+    def give_up(*_: object) -> None:
+        session = item.funcargs.get("spark")
+        if session is not None:
+            session.sparkContext.cancelAllJobs()
+        raise TimeoutError(f"{item.nodeid} took more than {LIMIT} s")
+
+    before = signal.signal(signal.SIGALRM, give_up)
+    signal.alarm(LIMIT)
+    try:
+        return (yield)
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
