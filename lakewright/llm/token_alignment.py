@@ -32,14 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.batches import column, gather, slices
+from lakewright.llm.batches import column, gather, slices, strings
 from lakewright.llm.tables import settled
 
 #: A space between visible characters, at which both tokenizers begin a new token.
 SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
-#: Bytes of text in a slice, and distinct words that a task remembers.
-BYTES, REMEMBERED = 2_000_000, 120_000
+#: Bytes of text in a slice, distinct words that a task remembers, and words that are coded together.
+BYTES, REMEMBERED, TOGETHER = 1_000_000, 300_000, 500
 #: A pair of ids as one number: A's id times this plus B's id.
 PAIR = 1 << 31
 
@@ -81,6 +81,14 @@ def refined(lengths: np.ndarray, coarse: np.ndarray, first: np.ndarray) -> np.nd
     return np.where(contradicted[word], decoded, ends)
 
 
+class _Numbered(dict):
+    """Gives each new key the next number."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Aligner:
     """Both tokenizers and the words that were aligned last."""
 
@@ -102,110 +110,125 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.b_bytes = _Surfaces([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in pieces])
+        self.decimals = _Surfaces([str(i).encode() for i in range(max(len(surfaces), len(pieces)))])
         self.forget()
 
     def forget(self) -> None:
         """Word 0 is none and has no tokens."""
-        self.index: dict[str, int] = {"": 0}
-        self.bad, self.groups = np.array([False]), [""]
+        self.index = _Numbered({"": 0})
+        self.bad = np.array([False])
         self.counts = np.zeros((1, 4), np.int64)
         self.pairs = np.zeros(0, np.int64)
         self.tokens: tuple[np.ndarray, ...] = tuple(np.zeros(0, np.int64) for _ in range(4))
-
-    def _a(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A's ids, ids per word, and byte ends in a space and the word."""
-        coded = self.a.encode_batch([f" {w}" for w in words], add_special_tokens=False)
-        counts = np.fromiter((len(e) for e in coded), np.int64, len(coded))
-        ids = np.array([i for e in coded for i in e.ids], np.int64)
-        spans = np.array([x for e in coded for s in e.offsets for x in s], np.int64).reshape(-1, 2)
+        # the ids of all groups in the order in which they are spelled, and the sign after each
+        self.spelled, self.signs = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def _a(self, texts: list[str], sizes: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A's ids, ids per text, and byte ends in a space and the text, from the bytes of all ``chars`` of them."""
+        coded = self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False)
+        spans = [np.array(e.offsets, np.int64).reshape(-1, 2) for e in coded]
+        counts = np.fromiter(map(len, spans), np.int64, len(spans))
+        ids, spans = np.concatenate([np.array(e.ids, np.int64) for e in coded]), np.concatenate(spans)
         first = np.cumsum(counts) - counts
-        # characters to bytes: the byte ends of all characters of all words, one word after the other
-        codes = np.frombuffer("".join(f" {w}" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        sizes = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF).astype(np.int64)
-        chars = np.fromiter(map(len, words), np.int64, len(words)) + 1
         byte_end = np.concatenate(([0], np.cumsum(sizes)))
         start = np.repeat(np.cumsum(chars) - chars, counts)
         coarse = byte_end[start + spans[:, 1]] - byte_end[start]
-        # an end is told if the next token of the word begins there and not inside the same character
+        # an end is told if the next token of the text begins there and not inside the same character
         inside = np.zeros(len(ids), bool)
         inside[:-1] = spans[1:, 0] < spans[:-1, 1]
         inside[first[1:] - 1] = False
         return ids, counts, refined(self.a_bytes.lengths[ids], np.where(inside, -1, coarse), first)
 
-    def _b(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """B's ids, ids per word, and byte ends in a space and the word."""
-        coded = [proto.pieces for proto in self.b.encode(words, return_type="proto", num_threads=1)]
-        counts = np.fromiter(map(len, coded), np.int64, len(coded))
-        told = np.array([x for pieces in coded for p in pieces for x in (p.id, p.end)], np.int64).reshape(-1, 2)
+    def _b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """B's ids, ids per text, and byte ends in a space and the text."""
+        told = []
+        for proto in self.b.encode(texts, return_type="proto", num_threads=1):
+            told.append(np.array([(p.id, p.end) for p in proto.pieces], np.int64).reshape(-1, 2))
+        counts, told = np.fromiter(map(len, told), np.int64, len(told)), np.concatenate(told)
         first = np.cumsum(counts) - counts
         before = np.concatenate(([0], told[:-1, 1]))[: len(told)]
         before[first[first < len(told)]] = 0
-        # spans do not count the space before the word; an empty span tells nothing
+        # spans do not count the space before the text; an empty span tells nothing
         coarse = np.where(told[:, 1] > before, told[:, 1] + 1, -1)
         return told[:, 0], counts, refined(self.b_bytes.lengths[told[:, 0]], coarse, first)
 
     def learn(self, words: list[str]) -> None:
-        """Align ``words``, none of them known."""
-        texts = [f" {w}".encode("utf-8", "replace") for w in words]
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        flat = np.frombuffer(b"".join(texts), np.uint8)
-        sides, bad = [], np.zeros(len(words), bool)
-        for coded, surfaces in ((self._a(words), self.a_bytes), (self._b(words), self.b_bytes)):
+        """Align ``words``, none of them known.
+
+        They are coded many at a time, with a single space between them, at which both
+        tokenizers part. If the tokens of such a text do not spell it, its words are coded
+        one by one, and those that are not spelled then are bad.
+        """
+        groups = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        while groups:
+            unclear = self._learn([" ".join(g) for g in groups], groups)
+            if unclear is None:
+                return
+            # keep the words' order: all come again, those of unclear texts alone
+            groups = [part for g, bad in zip(groups, unclear) for part in ([[w] for w in g] if bad else [g])]
+
+    def _learn(self, texts: list[str], groups: list[list[str]]) -> np.ndarray | None:
+        codes = np.frombuffer("".join(f" {t}" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF).astype(np.int64)
+        flat = np.frombuffer("".join(f" {t}" for t in texts).encode("utf-8", "surrogatepass"), np.uint8)
+        chars = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        byte_end = np.concatenate(([0], np.cumsum(sizes)))
+        text_end = byte_end[np.cumsum(chars)]
+        text_size = np.diff(text_end, prepend=0)
+        sides, bad = [], np.zeros(len(texts), bool)
+        for coded, surfaces in ((self._a(texts, sizes, chars), self.a_bytes), (self._b(texts), self.b_bytes)):
             ids, counts, ends = coded
-            word = np.repeat(np.arange(len(words)), counts)
-            spelled = np.bincount(word, surfaces.lengths[ids], len(words)).astype(np.int64)
-            bad |= spelled != sizes
-            sides.append([ids, counts, ends, word, surfaces])
-        for ids, counts, ends, word, surfaces in sides:
-            keep = ~bad[word]
-            same = surfaces.of(ids[keep]) == flat[np.repeat(~bad, sizes)]
-            wrong = np.flatnonzero(~same)
-            if len(wrong):
-                good = np.flatnonzero(~bad)
-                bad[good[np.searchsorted(np.cumsum(sizes[good]), wrong, side="right")]] = True
-        start = np.cumsum(np.where(bad, 0, sizes)) - np.where(bad, 0, sizes)
-        (a, a_end, a_word), (b, b_end, b_word) = (
-            (ids[~bad[word]], (ends + start[word])[~bad[word]], word[~bad[word]]) for ids, _, ends, word, _ in sides
-        )
-        a_start = a_end - self.a_bytes.lengths[a]
+            text = np.repeat(np.arange(len(texts)), counts)
+            bad |= np.bincount(text, surfaces.lengths[ids], len(texts)).astype(np.int64) != text_size
+            sides.append((ids, ends, text, surfaces))
+        for ids, _, text, surfaces in sides:
+            right = np.repeat(~bad, text_size)
+            wrong = np.flatnonzero(surfaces.of(ids[~bad[text]]) != flat[right])
+            bad[np.searchsorted(text_end, np.flatnonzero(right)[wrong], side="right")] = True
+        many = np.array([len(g) > 1 for g in groups])
+        if (bad & many).any():
+            return bad & many
+        words = [w for g in groups for w in g]
+        of_text = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+        word_end = byte_end[np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)]
+        word_start = np.concatenate(([0], word_end[:-1]))
+        text_start = text_end - text_size
+        (a, a_end), (b, b_end) = ((ids[~bad[text]], (ends + text_start[text])[~bad[text]]) for ids, ends, text, _ in sides)
+        a_word, b_word = np.searchsorted(word_end, a_end), np.searchsorted(word_end, b_end)
+        n, a_start = len(words), a_end - self.a_bytes.lengths[a]
         low, high = np.searchsorted(b_end, a_start, side="right"), np.searchsorted(b_end, a_end, side="left")
         linked = high - low + 1
         self.pairs = np.concatenate((self.pairs, np.repeat(a, linked) * PAIR + b[gather(low, linked)]))
         cuts = np.intersect1d(a_end, b_end, assume_unique=True)
-        cut_word = a_word[np.searchsorted(a_end, cuts)]
-        n = len(words)
+        a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
         counts = np.stack(
-            [np.bincount(a_word, minlength=n), np.bincount(b_word, minlength=n), np.bincount(cut_word, minlength=n), np.bincount(a_word, linked, n)], axis=1
-        )
+            [
+                np.bincount(a_word, minlength=n), np.bincount(b_word, minlength=n), np.bincount(np.searchsorted(word_end, cuts), minlength=n),
+                np.bincount(a_word, linked, n),
+            ],
+            axis=1,
+        )
         self.counts = np.concatenate((self.counts, counts.astype(np.int64)))
-        self.bad = np.concatenate((self.bad, bad))
-        self.tokens = tuple(np.concatenate(x) for x in zip(self.tokens, (a, a_end - start[a_word], b, b_end - start[b_word])))
-        self.groups.extend(self._spell(a, a_end, b, b_end, cuts, np.bincount(cut_word, minlength=n)))
-
-    @staticmethod
-    def _spell(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, cuts: np.ndarray, per_word: np.ndarray) -> Iterator[str]:
-        a_names, b_names = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_cut, b_cut = (np.searchsorted(a_end, cuts) + 1).tolist(), (np.searchsorted(b_end, cuts) + 1).tolist()
-        told = [
-            f"{','.join(a_names[i:j])}|{','.join(b_names[k:m])}" for i, j, k, m in zip([0, *a_cut], a_cut, [0, *b_cut], b_cut)
-        ]
-        at = 0
-        for k in per_word.tolist():
-            yield ";".join(told[at : at + k])
-            at += k
+        self.bad = np.concatenate((self.bad, bad[of_text]))
+        self.tokens = tuple(np.concatenate(x) for x in zip(self.tokens, (a, a_end - word_start[a_word], b, b_end - word_start[b_word])))
+        # a group is spelled as A's ids, a bar, and B's ids; the last of each has its own sign
+        signs = [np.where(np.diff(g, append=-1) != 0, last, ord(",")) for g, last in ((a_group, ord("|")), (b_group, ord(";")))]
+        order = np.argsort(np.concatenate((a_group * 2, b_group * 2 + 1)), kind="stable")
+        self.spelled = np.concatenate((self.spelled, np.concatenate((a, b))[order]))
+        self.signs = np.concatenate((self.signs, np.concatenate(signs)[order].astype(np.uint8)))
+        return None
 
     def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words of ``texts``, one text after the other, and the words of each text."""
         if len(self.index) > REMEMBERED:
             self.forget()
-        index, seen, counts, known = self.index, [], [], len(self.index)
+        number, known, seen, counts = self.index.__getitem__, len(self.index), [], []
         for text in texts:
             words = SINGLE_SPACE.split(text) if text else []
-            for w in words:
-                seen.append(index.setdefault(w, len(index)))
+            seen.extend(map(number, words))
             counts.append(len(words))
-        if len(index) > known:
-            self.learn(list(index)[known:])
+        if len(self.index) > known:
+            self.learn(list(self.index)[known:])
         return np.array(seen, np.int64), np.array(counts, np.int64)
 
 
@@ -262,8 +285,7 @@ def _aligned(aligner: Aligner, part: pa.RecordBatch, slice_id: int, spans: bool)
     n_words = np.bincount(text_of, minlength=len(n_words))
     per_word = aligner.counts[word]
     totals = np.stack([np.bincount(text_of, per_word[:, k], len(n_words)).astype(np.int64) for k in range(4)], axis=1)
-    names, ends = [aligner.groups[w] for w in word.tolist()], np.cumsum(n_words)
-    groups = [";".join(names[e - k : e]) for e, k in zip(ends.tolist(), n_words.tolist())]
+    groups = _spelled_groups(aligner, word, per_word[:, 0] + per_word[:, 1], totals[:, 0] + totals[:, 1])
     starts = np.cumsum(aligner.counts[:, 3]) - aligner.counts[:, 3]
     links = aligner.pairs[gather(starts[word], per_word[:, 3])]
     dictionary, place = np.unique(links, return_inverse=True)
@@ -274,7 +296,7 @@ def _aligned(aligner: Aligner, part: pa.RecordBatch, slice_id: int, spans: bool)
     only_first = np.where(np.arange(len(n_words)) == 0, len(dictionary), 0)
     columns = {
         "slice": pa.array(np.full(len(n_words), slice_id, np.int64)), "id": part.column(0),
-        **{name: pa.array(totals[:, k]) for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))}, "groups": pa.array(groups, pa.string()),
+        **{name: pa.array(totals[:, k]) for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))}, "groups": groups,
         "pairs": _lists(pairs, distinct, pa.int32()), "times": _lists(times, distinct, pa.int32()),
         "dictionary": _lists(dictionary, only_first, pa.int64()), "uses": _lists(uses, only_first, pa.int64()),
     }
@@ -294,6 +316,24 @@ def _aligned(aligner: Aligner, part: pa.RecordBatch, slice_id: int, spans: bool)
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _spelled_groups(aligner: Aligner, word: np.ndarray, per_word: np.ndarray, per_text: np.ndarray) -> pa.Array:
+    """The groups of each text: the decimal ids of its words and their signs, without the last sign."""
+    counts = aligner.counts[:, 0] + aligner.counts[:, 1]
+    at = gather((np.cumsum(counts) - counts)[word], per_word)
+    ids, digits = aligner.spelled[at], aligner.decimals
+    lengths = digits.lengths[ids]
+    ends = np.cumsum(lengths + 1)
+    flat = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+    flat[gather(ends - lengths - 1, lengths)] = digits.of(ids)
+    flat[ends - 1] = aligner.signs[at]
+    last = np.cumsum(per_text)[per_text > 0] - 1
+    keep = np.ones(len(flat), bool)
+    keep[ends[last] - 1] = False
+    sizes = np.zeros(len(per_text), np.int64)
+    sizes[per_text > 0] = np.diff(ends[last], prepend=0) - 1
+    return strings(flat[keep], np.concatenate(([0], np.cumsum(sizes))))
+
+
 def link_counts(aligned: DataFrame) -> DataFrame:
     """(a_id, b_id, n_links, best): corpus-wide links of each pair that is linked, and whether no pair of its B id has more."""
     return _rated(_entries(aligned)).select(
