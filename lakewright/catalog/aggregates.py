@@ -104,13 +104,10 @@ def having_without_group(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "agg_10_mean_and_max",
-    "SELECT sum(p_retailprice::decimal(18,2))::double / count(*) AS mean_price, max(p_retailprice) AS max_price FROM part",
+    "SELECT round(avg(p_retailprice), 6) AS mean_price, max(p_retailprice) AS max_price FROM part",
 )
 def mean_and_max(spark: SparkSession, sf: str) -> DataFrame:
-    total = F.sum(F.col("p_retailprice").cast("decimal(18,2)")).cast("double")
-    return table(spark, sf, "part").agg(
-        F.try_divide(total, F.count("p_retailprice")).alias("mean_price"), F.max("p_retailprice").alias("max_price")
-    )
+    return table(spark, sf, "part").agg(F.round(F.avg("p_retailprice"), 6).alias("mean_price"), F.max("p_retailprice").alias("max_price"))
 
 
 @query("agg_11_distinct_values", "SELECT count(DISTINCT p_type) AS types, count(DISTINCT p_brand) AS brands FROM part")
@@ -161,6 +158,12 @@ def most_frequent(spark: SparkSession, sf: str) -> DataFrame:
     return top_values(table(spark, sf, "documents"), "source", 15)
 
 
+@query("agg_14_top_parts", "SELECT l_partkey, count(*) AS n_rows FROM lineitem GROUP BY l_partkey ORDER BY n_rows DESC, l_partkey LIMIT 15")
+def most_frequent_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that are about equally frequent, among which a sketch cannot choose."""
+    return top_values(table(spark, sf, "lineitem"), "l_partkey", 15, tracked=200)
+
+
 @query(
     "agg_15_dirty_numbers",
     """WITH d AS (SELECT try_cast(CASE WHEN event_type = 'error' THEN '..' ELSE value::decimal(18,2)::varchar END AS double) AS v FROM events)
