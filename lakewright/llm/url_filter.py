@@ -16,8 +16,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from lakewright.llm.tables import settled
+from lakewright.llm.tables import settled, unused
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ADDED = ("host", "path", "rule", "verdict")
@@ -70,43 +71,40 @@ def _rule_nodes(rules: DataFrame) -> DataFrame:
     )
 
 
-def _open_rules(keys: DataFrame, nodes: DataFrame, of: str) -> DataFrame:
-    """For each ``key`` of ``keys`` the rules of all nodes that begin it, by equality of label prefixes."""
-    steps = keys.select(of, F.explode(_key_prefixes(F.col("key"))).alias("node"))
-    found = steps.join(nodes, "node").groupBy(of).agg(F.flatten(F.collect_list("own")).alias("stack"))
-    none = F.array().cast(found.schema["stack"].dataType)
-    return keys.join(found, of, "left").withColumn("stack", F.coalesce("stack", none))
-
-
-def active_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(host, active): for each distinct ``host`` the rules whose host is its own or a parent's."""
-    spark = hosts.sparkSession
-    nodes = settled(_rule_nodes(rules), "url-rules")
-    begin = _open_rules(nodes.select(F.col("node").alias("key"), F.col("node").alias("at")), nodes, "at")
-    end = begin.join(nodes.select(F.col("node").alias("at"), "own"), "at")
-    events = begin.select("key", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("host"), "stack").unionByName(
-        end.select(
-            F.concat(F.expr("substring(key, 1, length(key) - 1)"), F.lit("/")).alias("key"),
-            F.lit(0).alias("kind"), F.lit(None).cast("string").alias("host"),
-            F.array_except("stack", "own").alias("stack"),
-        )
-    )
-    empty = F.lit(None).cast(events.schema["stack"].dataType)
-    points = hosts.select(host_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), "host", empty.alias("stack"))
+def _depth(key: Column) -> Column:
+    """The labels of a key: intervals of one depth are disjoint, so a stack has one place for each."""
+    return F.size(F.split(key, r"\.", -1)) - 1
+
+
+def active_rules(hosts: DataFrame, rules: DataFrame, name: str = "active") -> DataFrame:
+    """(host, name): for each distinct ``host`` the rules whose host is its own or a parent's.
+
+    In key order the start of an interval pushes its rules to the stack's place of its
+    depth and the end pops them. A key range starts from the intervals that are open at
+    its first key, the only ones that are looked up by prefixes.
+    """
+    nodes = settled(_rule_nodes(rules).withColumn("depth", _depth(F.col("node"))), "url-rules")
+    deepest = nodes.agg(F.coalesce(F.max("depth"), F.lit(0)).alias("d")).first()["d"]
+    no_host, no_rules = F.lit(None).cast("string"), F.lit(None).cast(nodes.schema["own"].dataType)
+    push = nodes.select(F.col("node").alias("key"), F.lit(0).alias("kind"), "depth", no_host.alias("host"), F.struct("own").alias("entry"))
+    end = F.concat(F.expr("substring(node, 1, length(node) - 1)"), F.lit("/"))
+    pop = nodes.select(end.alias("key"), F.lit(0).alias("kind"), "depth", no_host.alias("host"), F.struct(no_rules.alias("own")).alias("entry"))
+    points = hosts.select(
+        host_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), F.lit(0).alias("depth"), "host", F.lit(None).cast(push.schema["entry"].dataType).alias("entry")
+    )
     # stored, so that which range a key fell into is a fact and not a thing to be computed again
     dealt = settled(
-        points.unionByName(events).repartitionByRange("key", "kind").withColumn("range", F.spark_partition_id()), "url-sweep"
+        points.unionByName(push).unionByName(pop).repartitionByRange("key", "kind").withColumn("range", F.spark_partition_id()), "url-sweep"
     )
-    first = dealt.groupBy("range").agg(F.min("key").alias("key"))
-    seeds = _open_rules(first, nodes, "range").select(
-        F.lit("").alias("key"), F.lit(-1).alias("kind"), F.lit(None).cast("string").alias("host"), "stack", "range"
+    first = dealt.groupBy("range").agg(F.min("key").alias("first"))
+    prefixes = first.select("range", F.explode(_key_prefixes(F.col("first"))).alias("node"))
+    seeds = prefixes.join(nodes, "node").select(
+        F.lit("").alias("key"), F.lit(-1).alias("kind"), "depth", no_host.alias("host"), F.struct("own").alias("entry"), "range"
     )
     sweep = Window.partitionBy("range").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        dealt.unionByName(seeds)
-        .withColumn("active", F.last("stack", ignorenulls=True).over(sweep))
-        .filter("kind = 1").select("host", "active")
-    )
+    stack = [F.last(F.when(F.col("depth") == k, F.col("entry")), ignorenulls=True).over(sweep)["own"] for k in range(1, deepest + 1)]
+    swept = dealt.unionByName(seeds).select("kind", "host", F.array(*stack).cast(ArrayType(nodes.schema["own"].dataType)).alias("stack"))
+    return swept.filter("kind = 1").select("host", F.flatten(F.array_compact("stack")).alias(name))
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
@@ -122,14 +120,14 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     """
     kept = [c for c in pages.columns if c not in ADDED]
     placed = pages.select(*kept, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
-    hosts = active_rules(placed.select("host").distinct(), rules)
-    fitting = F.filter("active", lambda r: F.startswith(F.col("path"), r["path"]))
-    best = F.array_max(fitting)
+    active, best = unused([*kept, *ADDED], "_active", "_best")
+    hosts = active_rules(placed.select("host").distinct(), rules, active)
+    fitting = F.filter(active, lambda r: F.startswith(F.col("path"), r["path"]))
     return (
         placed.join(hosts, "host", "left")
-        .withColumn("best", best)
+        .withColumn(best, F.array_max(fitting))
         .select(
-            *kept, "host", "path", F.col("best.rule").alias("rule"),
-            F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+            *kept, "host", "path", F.col(best)["rule"].alias("rule"),
+            F.coalesce(F.col(best)["verdict"], F.lit(default)).alias("verdict"),
         )
     )
