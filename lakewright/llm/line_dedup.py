@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.tables import settled
+from lakewright.llm.tables import settled, unused
 
 ADDED = ("n_lines", "n_dropped")
 #: The least ratio tried that keeps 99.9 % of the lines that no three documents but near copies share (sf0.1, see README).
@@ -64,15 +64,16 @@ def drop_boilerplate(
     """
     pages = pages.drop(*ADDED)
     bad = settled(boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
-    bad = bad.select(F.col("host").alias("_host"), F.col("bad").alias("_bad"))
+    at, listed, hit, left = unused(pages.columns, "_host", "_bad", "_hit", "_clean")
+    bad = bad.select(F.col("host").alias(at), F.col("bad").alias(listed))
     # the list's measured size decides whether it is broadcast; else the pages of a crowded host are split
-    joined = pages.join(bad, F.col(host).eqNullSafe(F.col("_host")), "left")
-    found = joined.withColumn("_hit", F.when(F.col("_bad").isNotNull(), F.array_intersect(_keys(F.col(text)), F.col("_bad"))))
+    joined = pages.join(bad, F.col(host).eqNullSafe(F.col(at)), "left")
+    found = joined.withColumn(hit, F.when(F.col(listed).isNotNull(), F.array_intersect(_keys(F.col(text)), F.col(listed))))
     lines = _lines(F.col(text))
-    clean = F.filter(lines, lambda line: (F.trim(line) == "") | ~F.array_contains(F.col("_hit"), _line_key(line)))
-    shorter = found.withColumn("_clean", F.when(F.size("_hit") > 0, clean))
+    clean = F.filter(lines, lambda line: (F.trim(line) == "") | ~F.array_contains(F.col(hit), _line_key(line)))
+    shorter = found.withColumn(left, F.when(F.size(hit) > 0, clean))
     return shorter.select(
-        *[F.coalesce(F.array_join("_clean", "\n"), F.col(c)).alias(c) if c == text else F.col(c) for c in pages.columns],
+        *[F.coalesce(F.array_join(left, "\n"), F.col(c)).alias(c) if c == text else F.col(c) for c in pages.columns],
         F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
-        F.coalesce(F.when(F.col("_clean").isNotNull(), F.size(lines) - F.size("_clean")), F.lit(0)).alias("n_dropped"),
+        F.coalesce(F.when(F.col(left).isNotNull(), F.size(lines) - F.size(left)), F.lit(0)).alias("n_dropped"),
     )

@@ -12,7 +12,7 @@ from lakewright.llm.decontamination import contaminated
 from lakewright.llm.embedding_dedup import near_duplicate_vectors
 from lakewright.llm.fill_in_middle import fill_in_middle, restore
 from lakewright.llm.license_scan import scan
-from lakewright.llm.line_dedup import drop_boilerplate
+from lakewright.llm.line_dedup import RATIO, drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.sharding import feistel_shards
 from lakewright.llm.suffix_dedup import remove_repeats
@@ -34,8 +34,6 @@ URL_RULES = [
 
 
 KEPT_SCORE = 0.7
-#: The ratio of the line query's SQL; the operator's own default is far lower.
-LINE_RATIO = 0.1
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +119,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate of its source."""
-    return drop_boilerplate(table(spark, sf_dir, "documents"), ratio=LINE_RATIO).select("doc_id", "source", "text", "n_lines", "n_dropped")
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,8 +177,9 @@ SQL: dict[str, str] = {
     "op2_decontamination": twins.DECONTAMINATION,
     "op4_near_dedup": twins.NEAR_DEDUP,
     "op5_feistel_shards": twins.shards(SHARDS),
-    "op8_line_dedup": twins.LINE_DEDUP,
+    "op8_line_dedup": twins.lines(RATIO),
     "op9_url_filter": twins.urls(URL_RULES),
     "op10_embedding_dedup": twins.EMBEDDING_DEDUP,
     "op11_fill_in_middle": twins.FILL_IN_MIDDLE,
+    "op12_suffix_dedup": twins.SUFFIX_DEDUP,
 }

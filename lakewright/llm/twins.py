@@ -7,7 +7,9 @@ import zlib
 from lakewright.llm.sharding import P1, P2, round_keys
 from lakewright.llm.url_filter import UPPER
 
-LINE_DEDUP = """
+
+def lines(ratio: float) -> str:
+    return f"""
 WITH docs AS (
   SELECT row_number() OVER () AS nr, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
 ), told AS (
@@ -18,7 +20,7 @@ WITH docs AS (
   SELECT t.source, list(line) AS bad FROM (
     SELECT source, line, count(*) AS n FROM told GROUP BY source, line
   ) t JOIN totals ON t.source IS NOT DISTINCT FROM totals.source
-  WHERE n >= 3 AND n > 0.1::DOUBLE * total GROUP BY t.source
+  WHERE n >= 3 AND n > {ratio}::DOUBLE * total GROUP BY t.source
 ), cleaned AS (
   SELECT doc_id, d.source, text, lines,
     list_filter(lines, lambda x: bad IS NULL OR NOT list_contains(bad, trim(x))) AS good
@@ -129,6 +131,30 @@ FROM cut
 """
 
 
+SUFFIX_DEDUP = """
+WITH docs AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(h[i:i + 199]) AS k FROM (SELECT doc_id, h, unnest(range(1, n - 198)) AS i FROM docs)
+), repeated AS (
+  SELECT doc_id, i FROM windows JOIN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1) USING (k)
+), begun AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 200 THEN 0 ELSE 1 END AS b FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), spans AS (
+  SELECT doc_id, min(i) AS lo, max(i) + 199 AS hi FROM (SELECT doc_id, i, sum(b) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM begun) GROUP BY doc_id, s
+), gaps AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER w, 0) AS before, lead(lo) OVER w IS NULL AS final FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY lo)
+), kept AS (
+  SELECT doc_id, sum(hi - lo + 1) AS n_removed, count(*) AS n_spans,
+    string_agg(hex(h[before + 1:lo - 1]), '' ORDER BY lo) || max(CASE WHEN final THEN hex(h[hi + 1:]) ELSE '' END) AS left_over
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(left_over, hex(h)))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+
 def urls(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
     return f"""

@@ -255,6 +255,36 @@ def test_url_rules(spark):
     assert {r.verdict for r in url_filter.filter_urls(pages, rules.filter("false"), default="block").collect()} == {"block"}
 
 
+def test_columns_with_helper_names_stay(spark):
+    names = ["best", "active", "_best", "_active", "stack", "kind", "depth", "key"]
+    pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string").select("*", *[F.lit(c).alias(c) for c in names])
+    row = url_filter.filter_urls(pages, url_filter.rule_frame(spark, URL_RULES)).first()
+    assert all(row[c] == c for c in names) and row.rule == "net/"
+    names = ["_host", "_bad", "_hit", "_clean", "host", "key", "bad", "n", "total"]
+    docs = spark.createDataFrame([(k, "menu\nx", "s") for k in range(5)], "doc_id long, text string, source string")
+    rows = line_dedup.drop_boilerplate(docs.select("*", *[F.lit(c).alias(c) for c in names])).collect()
+    assert all(r[c] == c for c in names for r in rows) and {r.text for r in rows} == {""}
+
+
+def test_boilerplate_of_long_and_repeated_pages(spark):
+    rows = [(k, "\n".join(["top", f"line {k}", *[f"{k} {i}" for i in range(30_000)], "end"]), "s") for k in range(3)]
+    rows += [(7, "once", "s"), (7, "once", "s"), (8, None, "s")]
+    got = line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    told = sorted((r.doc_id, r.n_lines, r.n_dropped, len((r.text or "").split("\n"))) for r in got)
+    assert told == [(0, 30_003, 2, 30_001), (1, 30_003, 2, 30_001), (2, 30_003, 2, 30_001), (7, 1, 0, 1), (7, 1, 0, 1), (8, 0, 0, 1)]
+
+
+def test_nested_rules_on_very_long_hosts(spark):
+    host = ".".join(["a"] * 60)
+    hosts = [host[2 * k :] for k in range(60)]
+    rules = [("block" if k % 2 else "allow", h, "/p" * (k % 3)) for k, h in enumerate(hosts)]
+    urls = [f"http://{h}{path}" for h in [*hosts, "b." + host, "b.a.a", "ba.a"] for path in ("", "/p/p", "/q" * 5000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for r in url_filter.filter_urls(pages, url_filter.rule_frame(spark, rules)).collect():
+        fits = [(len(h + p), len(h), v, h + p) for v, h, p in rules if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+        assert (r.rule, r.verdict) == ((max(fits)[3], max(fits)[2]) if fits else (None, "allow"))
+
+
 def test_random_urls_equal_brute_force(spark):
     rng = random.Random(8)
     labels = ["a", "b", "c", "", "a-b", "a0"]
