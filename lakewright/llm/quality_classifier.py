@@ -31,19 +31,20 @@ from lakewright.llm.tables import settled
 
 BUCKETS, DIMENSIONS, NONZERO, REACH = 16384, 64, 8, 2
 CAPITALS, REPEATED = 0, 1
-RARE = 0.01
+#: Share of all words at which a word counts half, and times that a word was met at which it counts half.
+RARE, KNOWN = 0.01, 3
 HIDDEN, EPOCHS, BATCH = 32, 60, 128
 #: Characters worked on at a time, and distinct words whose buckets a task remembers.
-CHARS, REMEMBERED = 1_000_000, 300_000
+CHARS, REMEMBERED = 400_000, 200_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
 def index_vectors(seed: int) -> np.ndarray:
-    """A sparse vector of ones and minus ones per bucket, scaled to length one."""
+    """A sparse vector of ones and minus ones per bucket."""
     rng = np.random.default_rng(seed)
-    vectors = np.zeros((BUCKETS, DIMENSIONS), np.float32)
+    vectors = np.zeros((BUCKETS, DIMENSIONS), np.int64)
     places = np.argsort(rng.random((BUCKETS, DIMENSIONS)), axis=1)[:, :NONZERO]
-    vectors[np.arange(BUCKETS)[:, None], places] = rng.choice([-1.0, 1.0], (BUCKETS, NONZERO)) / np.sqrt(NONZERO)
+    vectors[np.arange(BUCKETS)[:, None], places] = rng.choice([-1, 1], (BUCKETS, NONZERO))
     return vectors
 
 
@@ -100,11 +101,14 @@ def _pooled(buckets: np.ndarray, counts: np.ndarray, vectors: np.ndarray) -> np.
 
 
 def _contexts(texts: DataFrame, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each bucket the sum of its neighbours' index vectors over ``texts``, and its count."""
+    """For each bucket the sum of its neighbours' index vectors over ``texts``, and its count.
+
+    Whole numbers, so the sums do not depend on the order in which parts arrive.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, words = index_vectors(seed), _Words()
-        sums, seen = np.zeros((BUCKETS, DIMENSIONS), np.float32), np.zeros(BUCKETS, np.int64)
+        sums, seen = np.zeros((BUCKETS, DIMENSIONS), np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             column = batch.column(0)
             for lo, hi in _parts(column) if len(batch) else ():
@@ -121,17 +125,17 @@ def _contexts(texts: DataFrame, seed: int) -> tuple[np.ndarray, np.ndarray]:
                             sums[own] += np.add.reduceat(index[b[order]], starts, axis=0)
         there = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(there.astype(np.int32)), pa.array(seen[there]), pa.array(list(sums[there]), pa.list_(pa.float32()))],
+            [pa.array(there.astype(np.int32)), pa.array(seen[there]), pa.array(list(sums[there]), pa.list_(pa.int64()))],
             ["bucket", "seen", "total"],
         )
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"bucket": [group["bucket"].iat[0]], "seen": [group["seen"].sum()], "total": [np.sum(np.stack(group["total"]), axis=0)]})
 
-    parts = texts.mapInArrow(run, "bucket int, seen long, total array<float>")
+    parts = texts.mapInArrow(run, "bucket int, seen long, total array<long>")
     # one row per bucket at most
-    rows = parts.groupBy("bucket").applyInPandas(add, "bucket int, seen long, total array<float>").toPandas()
-    sums, seen = np.zeros((BUCKETS, DIMENSIONS), np.float32), np.zeros(BUCKETS, np.int64)
+    rows = parts.groupBy("bucket").applyInPandas(add, "bucket int, seen long, total array<long>").toPandas()
+    sums, seen = np.zeros((BUCKETS, DIMENSIONS), np.int64), np.zeros(BUCKETS, np.int64)
     if len(rows):
         sums[rows["bucket"]], seen[rows["bucket"]] = np.stack(rows["total"]), rows["seen"]
     return sums, seen
@@ -140,9 +144,11 @@ def _contexts(texts: DataFrame, seed: int) -> tuple[np.ndarray, np.ndarray]:
 def word_vectors(texts: DataFrame, seed: int) -> np.ndarray:
     """(BUCKETS, DIMENSIONS): the weighted word vectors fitted on ``texts``, which ends in few partitions."""
     sums, seen = _contexts(texts, seed)
-    vectors = index_vectors(seed) + sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    vectors = index_vectors(seed) / np.sqrt(NONZERO) + sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
     share = seen / max(seen.sum(), 1)
-    return (vectors * (RARE / (RARE + share))[:, None]).astype(np.float32)
+    # a word that was met once or never tells little or nothing, and its random vector would drown the others
+    known = seen / (seen + KNOWN)
+    return (vectors * (known * RARE / (RARE + share))[:, None]).astype(np.float32)
 
 
 @dataclass
@@ -209,8 +215,11 @@ def fitted_temperature(logits: np.ndarray, labels: np.ndarray, prior: float) ->
 
 @dataclass
 class Classifier:
+    """Word vectors and network; ``informed`` if rows of both labels were learnt from."""
+
     vectors: np.ndarray
     network: Network
+    informed: bool = True
 
 
 def held_out(id: Column) -> Column:
@@ -238,10 +247,10 @@ def fit(
     # ids may repeat in the documents, so the bound is set again
     rows = settled(rows.withColumn("_text", F.xxhash64("text")).orderBy("_order", "_id", "_text").limit(sample).repartition(8, "_id"), "labelled")
     vectors = word_vectors(rows.select("text"), seed)
-    learnt = _with_pooled(rows.select("_id", "y", "_order", "text"), vectors, "text").toPandas().sort_values(["_order", "_id"])
+    learnt = _with_pooled(rows.select("_id", "y", "_order", "_text", "text"), vectors, "text").toPandas().sort_values(["_order", "_id", "_text"])
     y = learnt["y"].to_numpy()
     if len(set(y)) < 2:
-        return Classifier(vectors, constant_network(y))
+        return Classifier(vectors, constant_network(y), informed=False)
     x = np.stack(learnt["pooled"])
     kept_back = (learnt["_order"].to_numpy() % 5 == 0) if len(y) >= 50 else np.zeros(len(y), bool)
     if len(set(y[~kept_back])) < 2:
