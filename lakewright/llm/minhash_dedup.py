@@ -14,9 +14,10 @@ comparison per member and tree. Other nodes are branched, unless their classes
 are alike already, in which case branching would only repeat them. At the ends of the
 paths, classes whose sizes and signatures may fit one of another component are compared
 on full sets; a unit of work gives no more links than it has classes. In ends that are
-still large, what is not in the node's greatest component is compared, in blocks, with
-all of it; classes that share too few of their tokens with any other are left out first,
-which is exact.
+still large, classes that by their sizes and shared tokens can be linked with nothing in
+their node are left out first, which is exact. The others are compared with the class
+that shares the most, the node's hub, and only what is then not in the node's greatest
+component is compared, in blocks, with all of it.
 
 Trees start from different places of the signature, and a branch takes STEP different
 ones. ``missed`` gives the probability that a pair at the threshold meets in no tree;
@@ -37,10 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.llm.batches import slices
 from lakewright.llm.components import components
 from lakewright.llm.grouped import map_groups
 from lakewright.llm.shingles import mix, shingle_sets
-from lakewright.llm.tables import settled
+from lakewright.llm.tables import settled, unused
 
 SIGNATURE, LEAF, BRANCHES, STEP, DEPTH = 64, 48, 4, 2, 4
 #: Classes in a block of a node that stays large: fewer blocks repeat their classes less often.
@@ -49,7 +51,8 @@ BLOCK = 128
 ALIKE = 0.35
 #: Cells of the table of classes by tokens up to which a unit is compared at once.
 CELLS = 8_000_000
-BYTES = 2_000_000
+#: Bytes of text that a task turns into shingles at a time.
+BYTES = 500_000
 SEEDS = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
@@ -101,14 +104,6 @@ def least_agreement(percent: int, miss: float = 1e-7) -> int:
     return SIGNATURE
 
 
-def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with about ``BYTES`` bytes of text."""
-    sizes = np.array([len(t or "") + 1 for t in batch.column(batch.schema.get_field_index(text)).to_pylist()], np.int64)
-    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // BYTES)) + 1), len(sizes)]
-    for lo, hi in zip(cuts, cuts[1:]):
-        yield batch.slice(lo, hi - lo)
-
-
 def _signature(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For each set and seed the upper half of the least scrambled token."""
     columns = [np.minimum.reduceat(mix(sets ^ seed), starts) >> np.uint64(32) for seed in SEEDS]
@@ -120,7 +115,7 @@ def sketches(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch, "text") if len(batch) else ():
+            for part in slices(batch, "text", BYTES):
                 sets, counts = shingle_sets(part.column(1), words)
                 full = np.flatnonzero(counts)
                 ends = np.cumsum(counts)
@@ -147,7 +142,7 @@ def full_sets(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch, "text") if len(batch) else ():
+            for part in slices(batch, "text", BYTES):
                 sets, counts = shingle_sets(part.column(1), words)
                 bounds = np.concatenate(([0], np.cumsum(counts)))
                 keys = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds, bounds[1:])]
@@ -227,27 +222,69 @@ def _agreement(left: str, right: str) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def joinable(nodes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
-    """Those rows of large nodes whose class shares enough tokens with other classes of ``nodes`` to be linked at all.
-
-    A link takes ``percent`` of a set's own tokens, so a set that has more of them to itself has none here.
-    """
-    sets = sets_of(nodes.select("class").distinct(), docs, members, id, text, words)
+def token_shares(sets: DataFrame) -> DataFrame:
+    """(class, n_tokens, n_shared): how many tokens a set has, and how many of them another set of ``sets`` has, too."""
     told = sets.select("class", F.explode("tokens").alias("token"))
     common = told.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     shared = told.join(common, "token").groupBy("class").agg(F.count(F.lit(1)).alias("n_shared"))
-    able = shared.join(sets.select("class", F.size("tokens").alias("n_tokens")), "class")
-    able = able.filter(F.col("n_shared") * 100 >= F.col("n_tokens").cast("long") * percent).select("class")
-    kept = nodes.drop("n_classes").join(able, "class", "left_semi")
-    sizes = kept.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return settled(kept.join(sizes.filter("lo <> hi").select("node", "n_classes"), "node"), "joinable")
+    return settled(shared.join(sets.select("class", F.size("tokens").cast("long").alias("n_tokens")), "class"), "token-shares")
+
+
+def _reach(percent: int) -> Column:
+    """What a set offers a partner: a pair may be linked if each one's reach is at least ``percent`` times the other's size."""
+    return F.col("n_shared") * (100 + percent) - F.col("n_tokens") * percent
+
+
+def fitting(nodes: DataFrame, percent: int) -> DataFrame:
+    """Those rows of ``nodes`` (with token shares) that some row of their node may be linked with, by sizes and shared tokens.
+
+    The intersection of x and y is no greater than the shared tokens of either, and a link
+    takes (100 + percent) * intersection >= percent * (|x| + |y|). So x needs a y whose size
+    is at most x's reach over ``percent``, and whose reach is at least ``percent`` * |x|; of
+    the sets of each size in a node only the farthest reach counts. Nothing that has a link is lost.
+    """
+    reaching = nodes.withColumn("reach", _reach(percent))
+    by_size = reaching.groupBy("node", "n_tokens").agg(F.max("reach").alias("reach"))
+    sizes = by_size.groupBy("node").agg(F.collect_list(F.struct("n_tokens", "reach")).alias("sizes"))
+    may = F.exists("sizes", lambda y: (y["n_tokens"] * percent <= F.col("reach")) & (y["reach"] >= F.col("n_tokens") * percent))
+    return settled(reaching.join(sizes, "node").filter(may).drop("sizes"), "fitting")
+
+
+def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the set of each node with the farthest reach, and the sets of other components that it may be linked with.
+
+    In a group of edits of one text this is the set with the fewest edits, which is linked
+    with whatever has a link in the group at all, so few sets stay outside its component.
+    """
+    hubs = rows.groupBy("node").agg(F.max(F.struct("reach", "class", "n_tokens", "component")).alias("hub"))
+    met = rows.join(hubs, "node").filter(
+        (F.col("hub.component") != F.col("component"))
+        & (F.col("hub.n_tokens") * percent <= F.col("reach")) & (F.col("hub.reach") >= F.col("n_tokens") * percent)
+    )
+    return met.select(F.least("hub.class", "class").alias("a"), F.greatest("hub.class", "class").alias("b")).distinct()
+
+
+def melted(rows: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """(component, melted): what the components of ``rows`` become by ``links`` between classes, where they change."""
+    own = rows.select("class", "component").distinct()
+    ends = links.join(own.select(F.col("class").alias("a"), F.col("component").alias("x")), "a")
+    ends = ends.join(own.select(F.col("class").alias("b"), F.col("component").alias("y")), "b")
+    found = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")), label)
+    return settled(found.select(F.col("node").alias("component"), F.col("component").alias("melted")).filter("component <> melted"), label)
+
+
+def still_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` of nodes with more than one component, with the number of rows of their node."""
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return rows.join(sizes.filter("lo <> hi").select("node", "n_classes"), "node")
 
 
 def sets_of(classes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int) -> DataFrame:
     """(class, tokens): the full sets of ``classes``, from the text of one member of each."""
     one_of_each = members.join(classes, "class").groupBy("class").agg(F.min("id").alias("id")).select(F.col("id").alias(id)).distinct()
     # null-safe: a class may have no other id than null
-    read = docs.join(one_of_each.select(F.col(id).alias("_one")), F.col(id).eqNullSafe(F.col("_one")), "left_semi")
+    one = unused(docs.columns, "_one")[0]
+    read = docs.join(one_of_each.withColumnRenamed(id, one), F.col(id).eqNullSafe(F.col(one)), "left_semi")
     found = full_sets(read, id, text, words)
     return settled(found.join(classes, "class", "left_semi").dropDuplicates(["class"]), "full-sets")
 
@@ -369,16 +406,23 @@ def near_duplicates(
     )
     known = settled(known, "known-classes")
     small, large = path_ends(roots, known)
-    units = small.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(
-        _residue_blocks(joinable(large, docs, members, id, text, words, percent))
-    )
-    open_rows = settled(_may_fit(units.join(known, "class"), percent), "open-rows")
+    large_sets = sets_of(large.select("class").distinct(), docs, members, id, text, words)
+    rows_of_large = fitting(large.drop("n_classes").join(token_shares(large_sets), "class"), percent)
+    hub_links = settled(confirmed(hub_pairs(rows_of_large, percent), large_sets, percent), "hub-links")
+    changed = melted(rows_of_large, hub_links, "melted")
+
+    def now(of: DataFrame) -> DataFrame:
+        return of.join(changed, "component", "left").withColumn("component", F.coalesce("melted", "component")).drop("melted")
+
+    residue = settled(still_apart(now(rows_of_large)), "residue")
+    units = small.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(_residue_blocks(residue))
+    open_rows = settled(_may_fit(now(units.join(known, "class")), percent), "open-rows")
     open_sets = sets_of(open_rows.select("class").distinct(), docs, members, id, text, words)
     more_links = _unit_links(open_rows.join(open_sets, "class"), percent)
     # rows that share an id are one document: their classes are linked without comparison
     shared = members.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count_distinct("class").alias("n")).filter("n > 1")
     same_id = members.join(shared, "id").filter("class <> a").select("a", F.col("class").alias("b"))
-    final = components(links.unionByName(more_links).unionByName(same_id))
+    final = components(links.unionByName(hub_links).unionByName(more_links).unionByName(same_id))
 
     smallest = members.groupBy("class").agg(F.min("id").alias("id"))
     placed = smallest.join(final, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("component", "class").alias("component"))
