@@ -335,6 +335,23 @@ def test_license_cases(odd, none):
     assert hidden and not any(d["kept"] for d in hidden)
 
 
+def test_suppression_equals_all_pairs():
+    rng = random.Random(12)
+    for _ in range(400):
+        found = []
+        for k in range(rng.randrange(14)):
+            start = rng.randrange(12)
+            found.append({"start": start, "end": start + rng.randrange(1, 8), "priority": rng.choice([10, 50, 90]), "rule": k, "base": rng.random() < 0.2})
+
+        def outweighs(o, d):
+            longer = o["end"] - o["start"] > d["end"] - d["start"]
+            return o["priority"] > d["priority"] or (o["priority"] == d["priority"] and (longer or o["rule"] < d["rule"]))
+
+        for d in license_scan.suppressed(found):
+            held = [o for o in found if o is not d and o["start"] <= d["start"] and o["end"] >= d["end"] and outweighs(o, d)]
+            assert d["kept"] == (d["base"] or not held)
+
+
 def samples(pattern) -> set[str]:
     """Texts that a parsed pattern matches, of every alternative; repeats are taken least and most often, if optional."""
     every = {""}
