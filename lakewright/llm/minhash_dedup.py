@@ -10,14 +10,15 @@ further tokens, drawn by the node's own path. Small nodes are compared exhaustiv
 Links are needed for components only, and exact. So in every root each class is first
 compared with the root's smallest, and a node whose classes are all in one component
 needs no further comparison: a group of thousands of near copies takes about one
-comparison per member and tree. Other nodes are branched, unless their classes
-are alike already, in which case branching would only repeat them. At the ends of the
-paths, classes whose sizes and signatures may fit one of another component are compared
-on full sets; a unit of work gives no more links than it has classes. In ends that are
-still large, classes that by their sizes and shared tokens can be linked with nothing in
-their node are left out first, which is exact. The others are compared with the class
-that shares the most, the node's hub, and only what is then not in the node's greatest
-component is compared, in blocks, with all of it.
+comparison per member and tree. From other large roots, classes that by their sizes and
+shared tokens can be linked with nothing in another component are left out, which is
+exact; the others are compared with the class that shares the most, the root's hub, and
+again those left out that can be linked with no other component any more. What remains
+is branched, unless its classes are alike already, in which case branching would only
+repeat them. At the ends of the paths, classes whose sizes and signatures may fit one of
+another component are compared on full sets; a unit of work gives no more links than it
+has classes. In ends that are still large, what is not in the node's greatest component
+is compared, in blocks, with all of it.
 
 Trees start from different places of the signature, and a branch takes STEP different
 ones. ``missed`` gives the probability that a pair at the threshold meets in no tree;
@@ -35,7 +36,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.llm.batches import slices
@@ -182,17 +183,22 @@ def tree_roots(classes: DataFrame, trees: int, seed: int) -> DataFrame:
     return settled(rows.join(sizes, "node"), "tree-roots")
 
 
-def path_ends(roots: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Small and still large nodes at the ends of paths with more than one component: (node, class, component, n_classes).
+def open_nodes(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, class, component) of nodes with more than one component, with the rows of their node and its first class."""
+    sizes = rows.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("class").alias("first"),
+    )
+    return rows.join(sizes.filter("lo <> hi").select("node", "n_classes", "first"), "node")
+
 
-    ``known`` has the signature and the component of each class.
+def path_ends(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Small and still large nodes at the ends of paths from ``rows`` (node, class, component): (node, class, component, n_classes).
+
+    ``known`` has the signature of each class.
     """
-    rows, ends = roots.select("node", "class").join(known.select("class", "component"), "class"), []
+    ends = []
     for depth in range(DEPTH + 1):
-        sizes = rows.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("class").alias("first"),
-        )
-        level = settled(rows.join(sizes.filter("lo <> hi").select("node", "n_classes", "first"), "node"), "tree-level")
+        level = settled(open_nodes(rows), "tree-level")
         large = level.filter(F.col("n_classes") > LEAF)
         if not large.limit(1).count():
             ends.append(level.select("node", "class", "component", "n_classes"))
@@ -210,7 +216,7 @@ def path_ends(roots: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]
         steps = [
             F.xxhash64("node", F.lit(b), *[_token(place) for place in branch_places(F.col("node"), b)]) for b in range(BRANCHES)
         ]
-        deeper = branching.select("node", "class").join(known, "class")
+        deeper = branching.select("node", "class", "component").join(known.select("class", "signature"), "class")
         rows = deeper.select("class", "component", F.explode(F.array_distinct(F.array(*steps))).alias("node"))
     every = ends[0]
     for more in ends[1:]:
@@ -236,18 +242,24 @@ def _reach(percent: int) -> Column:
 
 
 def fitting(nodes: DataFrame, percent: int) -> DataFrame:
-    """Those rows of ``nodes`` (with token shares) that some row of their node may be linked with, by sizes and shared tokens.
+    """Those rows of ``nodes`` (with token shares) that some row of their node, in another component, may be linked with.
 
     The intersection of x and y is no greater than the shared tokens of either, and a link
     takes (100 + percent) * intersection >= percent * (|x| + |y|). So x needs a y whose size
     is at most x's reach over ``percent``, and whose reach is at least ``percent`` * |x|; of
-    the sets of each size in a node only the farthest reach counts. Nothing that has a link is lost.
+    the sets of each size in a node only the two farthest reaches of different components
+    count. Nothing that has a link which joins components is lost.
     """
     reaching = nodes.withColumn("reach", _reach(percent))
-    by_size = reaching.groupBy("node", "n_tokens").agg(F.max("reach").alias("reach"))
-    sizes = by_size.groupBy("node").agg(F.collect_list(F.struct("n_tokens", "reach")).alias("sizes"))
-    may = F.exists("sizes", lambda y: (y["n_tokens"] * percent <= F.col("reach")) & (y["reach"] >= F.col("n_tokens") * percent))
-    return settled(reaching.join(sizes, "node").filter(may).drop("sizes"), "fitting")
+    of_component = reaching.groupBy("node", "n_tokens", "component").agg(F.max("reach").alias("reach"))
+    farthest = Window.partitionBy("node", "n_tokens").orderBy(F.col("reach").desc(), "component")
+    two = of_component.withColumn("nth", F.row_number().over(farthest)).filter("nth <= 2")
+    sizes = two.groupBy("node").agg(F.collect_list(F.struct("n_tokens", "reach", "component")).alias("sizes"))
+
+    def fits(y: Column) -> Column:
+        return (y["component"] != F.col("component")) & (y["n_tokens"] * percent <= F.col("reach")) & (y["reach"] >= F.col("n_tokens") * percent)
+
+    return reaching.join(sizes, "node").filter(F.exists("sizes", fits)).drop("sizes")
 
 
 def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -273,12 +285,6 @@ def melted(rows: DataFrame, links: DataFrame, label: str) -> DataFrame:
     return settled(found.select(F.col("node").alias("component"), F.col("component").alias("melted")).filter("component <> melted"), label)
 
 
-def still_apart(rows: DataFrame) -> DataFrame:
-    """``rows`` of nodes with more than one component, with the number of rows of their node."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_classes"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return rows.join(sizes.filter("lo <> hi").select("node", "n_classes"), "node")
-
-
 def sets_of(classes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int) -> DataFrame:
     """(class, tokens): the full sets of ``classes``, from the text of one member of each."""
     one_of_each = members.join(classes, "class").groupBy("class").agg(F.min("id").alias("id")).select(F.col("id").alias(id)).distinct()
@@ -405,17 +411,21 @@ def near_duplicates(
         "class", "n_shingles", "signature", F.coalesce("component", "class").alias("component")
     )
     known = settled(known, "known-classes")
-    small, large = path_ends(roots, known)
-    large_sets = sets_of(large.select("class").distinct(), docs, members, id, text, words)
-    rows_of_large = fitting(large.drop("n_classes").join(token_shares(large_sets), "class"), percent)
-    hub_links = settled(confirmed(hub_pairs(rows_of_large, percent), large_sets, percent), "hub-links")
-    changed = melted(rows_of_large, hub_links, "melted")
+    placed = settled(open_nodes(roots.select("node", "class").join(known.select("class", "component"), "class")), "open-roots")
+    crowded = placed.filter(F.col("n_classes") > LEAF).select("node", "class", "component")
+    crowded_sets = sets_of(crowded.select("class").distinct(), docs, members, id, text, words)
+    shared = crowded.join(token_shares(crowded_sets), "class")
+    able = settled(fitting(shared, percent), "fitting")
+    hub_links = settled(confirmed(hub_pairs(able, percent), crowded_sets, percent), "hub-links")
+    changed = melted(able, hub_links, "melted")
 
     def now(of: DataFrame) -> DataFrame:
         return of.join(changed, "component", "left").withColumn("component", F.coalesce("melted", "component")).drop("melted")
 
-    residue = settled(still_apart(now(rows_of_large)), "residue")
-    units = small.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(_residue_blocks(residue))
+    still_able = fitting(now(able).drop("reach"), percent).select("node", "class", "component")
+    small, large = path_ends(still_able, known)
+    few = placed.filter(F.col("n_classes") <= LEAF).select("node", "class").unionByName(small.select("node", "class"))
+    units = few.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(_residue_blocks(large))
     open_rows = settled(_may_fit(now(units.join(known, "class")), percent), "open-rows")
     open_sets = sets_of(open_rows.select("class").distinct(), docs, members, id, text, words)
     more_links = _unit_links(open_rows.join(open_sets, "class"), percent)
