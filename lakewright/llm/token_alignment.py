@@ -23,6 +23,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 from pathlib import Path
 
 import numpy as np
@@ -156,10 +157,15 @@ class Aligner:
         """Align ``words``, none of them known.
 
         They are coded many at a time, with a single space between them, at which both
-        tokenizers part. If the tokens of such a text do not spell it, its words are coded
-        one by one, and those that are not spelled then are bad.
+        tokenizers part if it stands between visible characters; so a word that begins or
+        ends with white space (the first and last of a text) is coded alone. If the tokens
+        of such a text do not spell it, its words are coded one by one, and those that are
+        not spelled then are bad.
         """
-        groups = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        groups: list[list[str]] = []
+        for visible, run in groupby(words, lambda w: not (w[0].isspace() or w[-1].isspace())):
+            run, size = list(run), TOGETHER if visible else 1
+            groups += [run[k : k + size] for k in range(0, len(run), size)]
         while groups:
             unclear = self._learn([" ".join(g) for g in groups], groups)
             if unclear is None:

@@ -95,6 +95,18 @@ def test_small_slices_and_a_short_memory_give_the_same(spark, brute, monkeypatch
         assert (r["b_ids"], r["b_ends"]) == ([x[0] for x in b], [x[2] for x in b])
 
 
+def test_white_space_at_the_edges_of_texts_coded_together(brute):
+    import pyarrow as pa
+
+    texts = ["the cat ", "a dog", "b  ", " c", "d\n", "  e", "f\t", "\n", "g \n", "\n h", "  ", "i\u00a0", "j\x1c", " k l "]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    rows = token_alignment._aligned(token_alignment.Aligner(*FILES), batch, 0, True).to_pylist()
+    for r, text in zip(rows, texts):
+        a, b = brute(text)
+        assert (r["a_ids"], r["a_ends"]) == ([x[0] for x in a], [x[2] for x in a]), text
+        assert (r["b_ids"], r["b_ends"]) == ([x[0] for x in b], [x[2] for x in b]), text
+
+
 def test_links_of_the_corpus(spark, brute):
     texts = ["the cat and the dog", "the cat", "日本 the"]
     df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
