@@ -108,3 +108,47 @@ def sweep_join(
     found = found.select(*[F.col("_fact")[c].alias(c) for c in fact.columns], *taken)
     blank = [F.lit(None).cast(versions.schema[old].dataType).alias(new) for old, new in take.items()]
     return found.unionByName(undated.select(*fact.columns, *blank))
+
+
+def chunked_join(
+    fact: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    take: Mapping[str, str],
+    start: str = "effective_date",
+    end: str = "end_date",
+    current: str = "is_current",
+    end_inclusive: bool = True,
+) -> DataFrame:
+    """Left join of each fact to the version valid on its date, moving facts and versions once.
+
+    The n versions of a key are cut by their starts into lists of about the root of n.
+    A fact is joined to the one list whose time it falls into and takes the last version
+    in it that has started, which counts if it has not ended. So a fact compares twice
+    the root of n and comes out once; the fact side is an ordinary shuffled side, which
+    AQE splits where a key is crowded. Versions of a key may not overlap, and of versions
+    with one start, one is taken, as in ``sweep_join``.
+    """
+    by_key = Window.partitionBy(*keys)
+    names = [*dict.fromkeys([start, end, current, *take])]
+    known = versions.filter(~_any_null([*keys, start])).select(*keys, F.col(start).alias("_from"), F.struct(*names).alias("_version"))
+    numbered = known.select(
+        *keys, "_from", "_version", F.row_number().over(by_key.orderBy("_from")).alias("_row"), F.count(F.lit(1)).over(by_key).alias("_n")
+    )
+    entry = F.struct("_row", "_version")
+    lists = (
+        numbered.withColumn("_list", F.floor((F.col("_row") - 1) / F.ceil(F.sqrt("_n"))))
+        .groupBy(*keys, "_list")
+        .agg(F.min("_from").alias("_from"), F.array_sort(F.collect_list(entry), lambda a, b: a["_row"] - b["_row"]).alias("_entries"))
+        .withColumn("_until", F.lead("_from").over(by_key.orderBy("_list")))
+    )
+    when = F.col(f"l.{at}")
+    on = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys])
+    on = on & (when >= F.col("r._from")) & (F.col("r._until").isNull() | (when < F.col("r._until")))
+    started = F.size(F.filter("r._entries", lambda e: e["_version"][start] <= when))
+    picked = F.get("r._entries", started - 1)["_version"].alias("_found")
+    found = fact.alias("l").join(lists.alias("r"), on, "left").select(*[F.col(f"l.{c}") for c in fact.columns], picked)
+    until = F.col("_found")[end]
+    valid = F.col("_found")[current] | (F.col(at) <= until if end_inclusive else F.col(at) < until)
+    return found.select(*fact.columns, *[F.when(valid, F.col("_found")[old]).alias(new) for old, new in take.items()])

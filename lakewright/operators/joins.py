@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.operators.asof import sweep_join
+from lakewright.operators.asof import chunked_join, sweep_join
 from lakewright.operators.skew import planned_bytes, BROADCAST_LIMIT_BYTES, salted_join, small
 
 
@@ -72,7 +72,10 @@ def pit_join(
       and month, so a key with very many versions compares only those of a month;
     - ``sweep``: facts and version starts in one order, with work for their sum
       (see ``asof.sweep_join``, which wants versions that do not overlap);
-    - ``auto``: plain while the versions are planned to be small, otherwise a sweep.
+    - ``chunked``: a key's versions in about as many lists as each list is long, so a
+      fact compares twice the root of their number (see ``asof.chunked_join``; no
+      overlaps either). The facts are moved once and nothing is counted first;
+    - ``auto``: plain while the versions are planned to be small, otherwise chunked.
     """
     columns = [*keys, start, end, current, *take]
     versions = dim.select(*dict.fromkeys(columns))
@@ -82,7 +85,9 @@ def pit_join(
         return _valid_at(at, start, end, current, end_inclusive, l, r)
 
     if method == "auto":
-        method = "plain" if planned_bytes(versions) <= BROADCAST_LIMIT_BYTES else "sweep"
+        method = "plain" if planned_bytes(versions) <= BROADCAST_LIMIT_BYTES else "chunked"
+    if method == "chunked":
+        return chunked_join(fact, versions, keys, at, take, start, end, current, end_inclusive)
     if method == "sweep":
         return sweep_join(fact, versions, keys, at, take, start, end, current, end_inclusive)
     if method in ("plain", "broadcast"):
