@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.asof import chunked_join, sweep_join
 from lakewright.operators.skew import planned_bytes, BROADCAST_LIMIT_BYTES, salted_join, small
+from lakewright.session import stored
 
 
 def all_equal(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -47,6 +48,33 @@ def _valid_at(at: str, start: str, end: str, current: str, end_inclusive: bool,
     return (when >= F.col(f"{r}.{start}")) & (F.col(f"{r}.{current}") | before_end)
 
 
+def _listed_join(
+    fact: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, take: Mapping[str, str], start: str, end: str, current: str, end_inclusive: bool
+) -> DataFrame:
+    """Left join of facts to the list of their key's versions in their year, with a row for each version that is valid.
+
+    No version starts after ``final``, so what is valid later is listed there, and the
+    facts need not be read for the last of their dates.
+    """
+    final = F.lit(versions.agg(F.max(F.year(start)).alias("y")).scalar()).cast("int")
+    first, last = F.year(start), F.when(F.col(current), final).otherwise(F.least(F.year(end), final))
+    version = F.struct(*dict.fromkeys([start, end, current, *take]))
+    listed = (
+        versions.select(*keys, version.alias("_version"), F.explode(F.when(first <= last, F.sequence(first, last))).alias("_year"))
+        .groupBy(*keys, "_year")
+        .agg(F.collect_list("_version").alias("_versions"))
+    )
+    dated = fact.withColumn("_year", F.least(F.year(at), final))
+    when = F.col(f"l.{at}")
+
+    def valid(v: Column) -> Column:
+        return (when >= v[start]) & (v[current] | (when <= v[end] if end_inclusive else when < v[end]))
+
+    joined = dated.alias("l").join(listed.alias("r"), all_equal("l", "r", [*keys, "_year"]), "left")
+    found = joined.select(*[F.col(f"l.{c}") for c in fact.columns], F.explode_outer(F.filter("r._versions", valid)).alias("_found"))
+    return found.select(*fact.columns, *[F.col("_found")[old].alias(new) for old, new in take.items()])
+
+
 def pit_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -68,8 +96,9 @@ def pit_join(
       measured at run time, is under its own threshold;
     - ``broadcast``: the same with a hint, if the planned size is under the limit;
     - ``salted``: shuffled on the keys, with the facts of crowded keys spread;
-    - ``monthly``: versions are repeated per month they cover and joined on key
-      and month, so a key with very many versions compares only those of a month;
+    - ``monthly``: versions are listed per year they cover and joined on key and
+      year, so a key with very many versions compares only those of a year. The
+      versions are stored, the facts are read once and moved once;
     - ``sweep``: facts and version starts in one order, with work for their sum
       (see ``asof.sweep_join``, which wants versions that do not overlap);
     - ``chunked``: a key's versions in about as many lists as each list is long, so a
@@ -96,15 +125,7 @@ def pit_join(
     elif method == "salted":
         joined = salted_join(fact, versions, keys, "left", valid)
     elif method == "monthly":
-        horizon = fact.agg(F.max(at).cast("date").alias("h")).scalar()
-        first = F.trunc(F.col(start), "month")
-        last = F.trunc(F.when(F.col(current), horizon).otherwise(F.least(F.col(end), horizon)), "month")
-        months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
-        by_month = versions.withColumn("_month", F.explode(months))
-        dated = fact.withColumn("_month", F.trunc(F.col(at), "month"))
-        joined = dated.alias("l").join(
-            by_month.alias("r"), all_equal("l", "r", [*keys, "_month"]) & valid("l", "r"), "left"
-        )
+        return _listed_join(fact, stored(versions, "versions"), keys, at, take, start, end, current, end_inclusive)
     else:
         raise ValueError(f"unknown method '{method}'")
     return joined.select(*[F.col(f"l.{c}") for c in fact.columns], *out)
