@@ -1,4 +1,4 @@
-"""Point-in-time joins as a sweep: facts and version starts in one order, the open version carried forward."""
+"""Point-in-time joins beyond broadcasts: a sweep over facts and version starts, or lists of versions that follow each other."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakewright.session import stored
+
 GRAINS = ("year", "month", "day", "hour")
 
 
@@ -19,12 +21,14 @@ def _any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
-def fact_cells(fact: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str, grain: str, share: float) -> DataFrame:
+def fact_cells(
+    fact: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str, grain: str, share: float, total: int
+) -> DataFrame:
     """(keys, _cell, _carried, _salts): every cell of a key that holds facts, with the version that starts last before it.
 
     Facts are counted and version starts cut to the last of a cell before the shuffle, so
     a key has one row per cell however many facts and versions it has. Cells with more
-    than ``share`` of all facts, of which there are at most ``1 / share``, get several salts.
+    than ``share`` of all ``total`` facts, of which there are at most ``1 / share``, get several salts.
     """
     payload = F.struct(*[F.col(c) for c in versions.columns])
     opened = versions.groupBy(*keys, _cell(F.col(start), grain).alias("_cell")).agg(F.max_by(payload, F.col(start)).alias("_last"))
@@ -37,28 +41,42 @@ def fact_cells(fact: DataFrame, versions: DataFrame, keys: Sequence[str], at: st
     )
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     carried = cells.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier)).filter("_n > 0")
-    total = fact.agg(F.count(F.lit(1)).alias("n")).scalar()
     salts = F.greatest(F.lit(1), F.ceil(F.col("_n") / (total * F.lit(share)))).cast("int")
     return carried.select(*keys, "_cell", "_carried", salts.alias("_salts"))
 
 
+def busy_keys(fact: DataFrame, versions: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """The keys with more than ``share`` of all facts and versions; there are at most ``1 / share``."""
+    counted = fact.select(*keys).unionByName(versions.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = fact.count() + versions.count()
+    return counted.filter(F.col("_n") > total * F.lit(share)).select(*keys, F.lit(True).alias("_busy"))
+
+
 def swept_rows(fact: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str, grain: str, share: float) -> DataFrame:
     """Facts, version starts and carried versions, dealt into groups (keys, _cell, _salt) of bounded size.
 
+    A key that is not busy is one group and moves once, without being cut into cells.
     Salts come from the hash of the whole fact, so a task that runs again deals its rows
-    as before; facts that are equal in every column share one.
+    as before; facts that are equal in every column share one. ``_fact`` and ``_version``
+    hold all columns but the keys.
     """
-    cells = fact_cells(fact, versions, keys, at, start, grain, share)
-    # at most 1 / share rows, whatever the tables hold
-    crowded = F.broadcast(cells.filter("_salts > 1").select(*keys, "_cell", "_salts"))
-    payload = F.struct(*[F.col(c) for c in versions.columns])
     on = [*keys, "_cell"]
+    # at most 1 / share rows, whatever the tables hold
+    busy = F.broadcast(busy_keys(fact, versions, keys, share))
+    cells = fact_cells(fact.join(busy, [*keys], "left_semi"), versions.join(busy, [*keys], "left_semi"), keys, at, start, grain, share, fact.count())
+    crowded = F.broadcast(cells.filter("_salts > 1").select(*on, "_salts"))
     each_salt = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)).alias("_salt")
-    facts = fact.select(*keys, _cell(F.col(at), grain).alias("_cell"), F.col(at).cast("timestamp").alias("_at"), F.struct(*fact.columns).alias("_fact"))
-    facts = facts.join(crowded, on, "left").withColumn("_salt", F.when(F.col("_salts") > 1, F.pmod(F.xxhash64("_fact"), F.col("_salts"))).otherwise(0).cast("int"))
-    starts = versions.select(*keys, _cell(F.col(start), grain).alias("_cell"), F.col(start).cast("timestamp").alias("_at"), payload.alias("_version"))
-    starts = starts.join(crowded, on, "left").select(*on, "_at", "_version", each_salt)
-    edges = cells.filter("_carried IS NOT NULL").select(*on, F.lit(None).cast("timestamp").alias("_at"), F.col("_carried").alias("_version"), each_salt)
+
+    def packed(df: DataFrame, time: str, name: str) -> DataFrame:
+        rows = df.select(*keys, F.col(time).cast("timestamp").alias("_at"), F.struct(*[F.col(c) for c in df.columns if c not in keys]).alias(name))
+        cell = F.when(F.col("_busy"), _cell(F.col("_at"), grain)).alias("_cell")
+        return rows.join(busy, [*keys], "left").select(*keys, cell, "_at", name).join(crowded, on, "left")
+
+    facts = packed(fact, at, "_fact")
+    facts = facts.withColumn("_salt", F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(*keys, "_fact"), F.col("_salts"))).otherwise(0).cast("int"))
+    starts = packed(versions, start, "_version").select(*on, "_at", "_version", each_salt)
+    carried = F.struct(*[F.col("_carried")[c].alias(c) for c in versions.columns if c not in keys])
+    edges = cells.filter("_carried IS NOT NULL").select(*on, F.lit(None).cast("timestamp").alias("_at"), carried.alias("_version"), each_salt)
     no_fact = F.lit(None).cast(facts.schema["_fact"].dataType)
     no_version = F.lit(None).cast(starts.schema["_version"].dataType)
     return (
@@ -83,29 +101,34 @@ def sweep_join(
 ) -> DataFrame:
     """Left join of each fact to the version valid on its date, with work for facts plus versions.
 
-    A key's time is cut into cells of a ``grain``. Each cell starts from the version that
-    is open at its edge, so the cells of one key are swept apart, and a cell with more
-    than ``share`` of all facts is dealt into several groups. In a group the version that
+    The time of a key with more than ``share`` of all rows is cut into cells of a ``grain``.
+    Each cell starts from the version that is open at its edge, so the cells of one key are
+    swept apart, and a cell with more than ``share`` of all facts is dealt into several
+    groups; any other key is a group of its own. In a group the version that
     started last is carried forward to the facts that follow, and counts if it has not
     ended by then. Versions of a key may not overlap, as in any history of this library;
     of versions with one start, one is taken. Facts with a null key or date find nothing
-    and are not shuffled. The facts are read three times, so store them first if they
-    are costly to compute.
+    and are not shuffled. Facts and versions are read several times, so both are stored
+    first.
     """
     if grain not in GRAINS:
         raise ValueError(f"unknown grain '{grain}'")
-    nothing = _any_null([*keys, at])
+    nothing, fact = _any_null([*keys, at]), stored(fact, "sweep-facts")
     dated, undated = fact.filter(~nothing), fact.filter(nothing)
-    known = versions.select(*dict.fromkeys([*keys, start, end, current, *take])).filter(~_any_null([*keys, start]))
+    known = stored(versions.select(*dict.fromkeys([*keys, start, end, current, *take])).filter(~_any_null([*keys, start])), "sweep-versions")
     rows = swept_rows(dated, known, keys, at, start, grain, share)
     # carried versions have no time and come first; a start comes before the facts of its moment
     order = Window.partitionBy(*keys, "_cell", "_salt").orderBy(F.col("_at").asc_nulls_first(), "_kind")
     latest = F.last("_version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = rows.withColumn("_found", latest).filter("_kind = 1")
-    when, until = F.col("_fact")[at], F.col("_found")[end]
-    valid = F.col("_found")[current] | (when <= until if end_inclusive else when < until)
-    taken = [F.when(valid, F.col("_found")[old]).alias(new) for old, new in take.items()]
-    found = found.select(*[F.col("_fact")[c].alias(c) for c in fact.columns], *taken)
+
+    def of(side: str, name: str) -> Column:
+        return F.col(name) if name in keys else F.col(side)[name]
+
+    when, until = of("_fact", at), of("_found", end)
+    valid = of("_found", current) | (when <= until if end_inclusive else when < until)
+    taken = [F.when(valid, of("_found", old)).alias(new) for old, new in take.items()]
+    found = found.select(*[of("_fact", c).alias(c) for c in fact.columns], *taken)
     blank = [F.lit(None).cast(versions.schema[old].dataType).alias(new) for old, new in take.items()]
     return found.unionByName(undated.select(*fact.columns, *blank))
 

@@ -97,3 +97,61 @@ def test_auto_sweeps_beyond_the_limit(spark, monkeypatch):
     assert "Window" in plan(joined) and joined.collect()[0]["then"] == 7
     with pytest.raises(ValueError):
         sweep_join(fact, dim, ["k"], "d", {"state": "then"}, grain="minute")
+
+
+@pytest.mark.parametrize("end_inclusive", [True, False])
+@pytest.mark.parametrize("method", ["chunked", "monthly"])
+def test_lists_of_versions_equal_brute_force(spark, method, end_inclusive):
+    rng = random.Random(13)
+    versions = random_history(rng, range(12))
+    busy = [[50, date(2020, 1, 1) + timedelta(days=3 * n), date(2020, 1, 2) + timedelta(days=3 * n), False, n] for n in range(200)]
+    versions = [*versions, *busy, [51, date(2020, 1, 5), None, True, 5100]]
+    facts = [
+        (i, None if i % 37 == 0 else rng.choice([50, 51, rng.randrange(14)]), None if i % 41 == 0 else date(2019, 12, 1) + timedelta(days=rng.randrange(900)))
+        for i in range(900)
+    ] + [(900, 51, date(9999, 12, 31)), (901, 50, date(9999, 12, 31))]
+    dim = spark.createDataFrame([tuple(v) for v in versions], VERSIONS)
+    fact = spark.createDataFrame(facts, "id int, k int, d date").repartition(5)
+    joined = pit_join(fact, dim, ["k"], "d", {"state": "then", "effective_date": "since"}, end_inclusive=end_inclusive, method=method).collect()
+    got = {r.id: (r.then, r.since) for r in joined}
+    assert len(joined) == len(got) == len(facts)
+    for i, k, d in facts:
+        valid = [
+            (v[4], v[1]) for v in versions
+            if k is not None and d is not None and v[0] == k and v[1] is not None and v[1] <= d and (v[3] or (d <= v[2] if end_inclusive else d < v[2]))
+        ]
+        assert got[i] == (valid[0] if valid else (None, None)), (i, k, d)
+    assert pit_join(fact.filter("false"), dim, ["k"], "d", {"state": "then"}, method=method).count() == 0
+    assert {r.then for r in pit_join(fact, dim.filter("false"), ["k"], "d", {"state": "then"}, method=method).collect()} == {None}
+
+
+@pytest.mark.parametrize("method", ["auto", "monthly"])
+def test_facts_are_read_once(spark, monkeypatch, method):
+    monkeypatch.setattr("lakewright.operators.joins.BROADCAST_LIMIT_BYTES", 1)
+    dim = stored(spark.createDataFrame([(1, date(2024, 1, 1), None, True, 7)], VERSIONS), "dim")
+    facts = stored(spark.createDataFrame([(1, 1, date(2024, 2, 2))], "id int, k int, d date"), "facts-read-once")
+    joined = pit_join(facts, dim, ["k"], "d", {"state": "then"}, method=method)
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Relation [id#") == 1
+    unreadable = facts.withColumn("d", F.expr("if(id = 1, raise_error('read'), d)"))
+    pit_join(unreadable, dim, ["k"], "d", {"state": "then"}, method=method)
+
+
+def test_lists_have_about_the_root_of_all_versions(spark):
+    dim = spark.range(400).select(
+        F.lit(1).alias("k"), F.date_add(F.lit(date(2020, 1, 1)), F.col("id").cast("int")).alias("effective_date"), F.lit(None).cast("date").alias("end_date"),
+        F.lit(True).alias("is_current"), "id",
+    )
+    fact = spark.createDataFrame([(1, date(2020, 1, 1) + timedelta(days=d)) for d in (-1, 0, 19, 20, 399, 5000)], "k int, d date")
+    got = {r.d: r.v for r in pit_join(fact, dim, ["k"], "d", {"id": "v"}, method="chunked").collect()}
+    assert [got[date(2020, 1, 1) + timedelta(days=d)] for d in (-1, 0, 19, 20, 399, 5000)] == [None, 0, 19, 20, 399, 399]
+
+
+def test_only_busy_keys_are_cut_into_cells(spark):
+    """Each fact and version start of other keys moves once, in its key's one group."""
+    dim = spark.range(300).select(
+        (F.col("id") % 100).cast("int").alias("k"), F.date_add(F.lit(date(2020, 1, 1)), F.col("id").cast("int")).alias("effective_date"),
+        F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current"), "id",
+    )
+    fact = spark.range(6000).select("id", (F.col("id") % 100).cast("int").alias("k"), F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 700).cast("int")).alias("d"))
+    rows = swept_rows(fact, dim, ["k"], "d", "effective_date", "month", 0.05)
+    assert rows.count() == 6300 and rows.filter("_cell IS NOT NULL OR _salt > 0").count() == 0
