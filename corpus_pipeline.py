@@ -18,7 +18,7 @@ from lakewright.llm.decontamination import contaminated
 from lakewright.llm.line_dedup import drop_boilerplate
 from lakewright.llm.minhash_dedup import near_duplicates
 from lakewright.llm.queries import KEPT_SCORE, piece_model
-from lakewright.llm.tables import settled, table
+from lakewright.llm.tables import rows_with, settled, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ROW = "_row"
@@ -52,7 +52,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """The numbered ``rows`` whose number is not in ``gone``."""
-    return rows.join(settled(gone.select(ROW).distinct(), "gone"), ROW, "left_anti").select(*COLUMNS)
+    return rows_with(rows, gone.select(ROW), ROW, inside=False).select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

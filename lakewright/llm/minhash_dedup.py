@@ -43,7 +43,7 @@ from lakewright.llm.batches import slices
 from lakewright.llm.components import components
 from lakewright.llm.grouped import map_groups
 from lakewright.llm.shingles import mix, shingle_sets
-from lakewright.llm.tables import settled, unused
+from lakewright.llm.tables import rows_with, settled
 
 SIGNATURE, LEAF, BRANCHES, STEP, DEPTH = 64, 48, 4, 2, 4
 #: Classes in a block of a node that stays large: fewer blocks repeat their classes less often.
@@ -288,10 +288,8 @@ def melted(rows: DataFrame, links: DataFrame, label: str) -> DataFrame:
 def sets_of(classes: DataFrame, docs: DataFrame, members: DataFrame, id: str, text: str, words: int) -> DataFrame:
     """(class, tokens): the full sets of ``classes``, from the text of one member of each."""
     one_of_each = members.join(classes, "class").groupBy("class").agg(F.min("id").alias("id")).select(F.col("id").alias(id)).distinct()
-    # null-safe: a class may have no other id than null
-    one = unused(docs.columns, "_one")[0]
-    read = docs.join(one_of_each.withColumnRenamed(id, one), F.col(id).eqNullSafe(F.col(one)), "left_semi")
-    found = full_sets(read, id, text, words)
+    # a class may have no other id than null
+    found = full_sets(rows_with(docs, one_of_each, id), id, text, words)
     return settled(found.join(classes, "class", "left_semi").dropDuplicates(["class"]), "full-sets")
 
 

@@ -468,3 +468,20 @@ def test_held_out_labels_are_never_learnt_from(spark):
     turned = labels.withColumn("quality", F.when(quality_classifier.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = (quality_classifier.score(docs, quality_classifier.fit(docs, known)).collect() for known in (labels, turned))
     assert sorted(a) == sorted(b)
+
+
+def test_rows_are_chosen_by_bitmaps_of_ids_without_being_moved(spark, monkeypatch):
+    from lakewright.llm import tables
+
+    ids = [None, 0, 1, -1, -32768, 32768, 32769, 65536, 65537, 2**33, 2**33 + 7, 2**62, -(2**63), 2**63 - 1, 5, 5]
+    df = spark.createDataFrame([(k, f"text {k}") for k in ids], "k long, _bits string").repartition(3)
+    for chosen in ([], [None], [1, 32768, 5, 5], [None, -1, 0, 2**33 + 7, -(2**63), 2**63 - 1], ids):
+        wanted = spark.createDataFrame([(k,) for k in chosen], "k long")
+        for most in (8192, 0):
+            monkeypatch.setattr(tables, "BITMAPS", most)
+            for inside in (True, False):
+                got = sorted(str(tuple(r)) for r in tables.rows_with(df, wanted, "k", inside).collect())
+                assert got == sorted(str((k, f"text {k}")) for k in ids if (k in chosen) == inside), (chosen, most, inside)
+    monkeypatch.setattr(tables, "BITMAPS", 8192)
+    plan = tables.rows_with(tables.table(spark, "/root/testdata/sf0.001", "documents"), spark.range(0, 10**6, 3).withColumnRenamed("id", "doc_id"), "doc_id")._jdf.queryExecution()
+    assert "Exchange hashpartitioning" not in plan.executedPlan().toString()
