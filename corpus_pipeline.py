@@ -83,8 +83,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with the ids of their text and whether decoding them gives the text back."""
-    model = piece_model()
-    decoded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
+    decoded = sentencepiece_codec.round_trip(docs, piece_model())
     return decoded.select(
         "doc_id", "lang", "source", "n_chars", "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),

@@ -106,9 +106,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of their decoding."""
-    model = piece_model()
-    coded = sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, keep_text=False)
-    decoded = sentencepiece_codec.decode(coded, model)
+    decoded = sentencepiece_codec.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), keep_text=False)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -253,6 +253,10 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array, without: tu
     return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), values], [*(batch.schema.names[i] for i in kept), name])
 
 
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat.astype(np.int32)))
+
+
 def _schema_with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
@@ -273,9 +277,7 @@ def encode(
             texts = whole.column(whole.schema.get_field_index(text))
             for lo, hi in _slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) + 1, CHARS):
                 flat, counts = codec.encode(texts.slice(lo, hi - lo).to_pylist(), end)
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-                yield _with_column(whole.slice(lo, hi - lo), ids, lists, () if keep_text else (text,))
+                yield _with_column(whole.slice(lo, hi - lo), ids, _lists(flat, counts), () if keep_text else (text,))
 
     kept = df if keep_text else df.drop(text)
     return df.mapInArrow(run, _schema_with(kept, ids, T.ArrayType(T.IntegerType())))
@@ -301,3 +303,26 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
                 yield _with_column(whole.slice(lo, hi - lo), text, column)
 
     return df.mapInArrow(run, _schema_with(df, text, T.StringType()))
+
+
+def round_trip(
+    df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", decoded: str = "decoded", end: bool = True, keep_text: bool = True
+) -> DataFrame:
+    """What ``decode`` gives for the rows of ``encode``, in one pass.
+
+    The two after each other take two Python workers a core, each with the tables and words
+    of the model, and both stay for the stages that follow; this takes one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(model)
+        for whole in batches:
+            texts = whole.column(whole.schema.get_field_index(text))
+            for lo, hi in _slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) + 1, CHARS):
+                flat, counts = codec.encode(texts.slice(lo, hi - lo).to_pylist(), end)
+                coded = _with_column(whole.slice(lo, hi - lo), ids, _lists(flat, counts), () if keep_text else (text,))
+                yield _with_column(coded, decoded, pa.array(codec.decode(flat, counts), pa.string()))
+
+    kept = df if keep_text else df.drop(text)
+    schema = T.StructType([f for f in _schema_with(kept, ids, T.ArrayType(T.IntegerType())).fields if f.name != decoded])
+    return df.mapInArrow(run, schema.add(decoded, T.StringType()))

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakewright.llm import quality_classifier
+from lakewright.llm import quality_classifier, sentencepiece_codec
+from lakewright.llm.queries import QUERIES, piece_model
 from lakewright.llm.tables import settled, table
 from tests.conftest import SMALL
 from tests.llm.test_cases import brute_components
@@ -131,3 +132,21 @@ def test_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         odd = settled(stage(spark, odd, SMALL), "test-odd")
     assert odd.count() == 4 and all(r.same_text for r in odd.collect())
+
+
+def test_pieces_are_coded_and_decoded_by_one_worker(spark, steps):
+    """Two chained passes would take two Python workers a core, each with the model's tables and words."""
+    stage = corpus_pipeline.STAGES[-1][1]
+    for frame in (stage(spark, steps[-2], SMALL), QUERIES["op7_sentencepiece"](spark, SMALL)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_round_trip_equals_encode_and_decode(spark):
+    texts = ["", None, " a  b ", "▁x", "tab\t€🙂", "plain words"]
+    frame = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    model = piece_model()
+    for keep in (True, False):
+        apart = sentencepiece_codec.decode(sentencepiece_codec.encode(frame, model, keep_text=keep), model)
+        once = sentencepiece_codec.round_trip(frame, model, keep_text=keep)
+        assert once.dtypes == apart.dtypes and sorted(once.collect()) == sorted(apart.collect())
+    assert sentencepiece_codec.round_trip(frame.limit(0), model).count() == 0
