@@ -34,6 +34,8 @@ from lakewright.llm.tables import settled, unused
 LENGTH, ANCHOR = 200, 48
 #: Different snippets of an anchor up to which they are sorted in one shard.
 CROWD = 1500
+#: Ranges of an anchor's places in a window, each with a core of its own.
+PARTS = 8
 #: Bytes of snippets in a shard on average, windows hashed at a time, and bytes of text in a slice.
 SHARD, BLOCK, BYTES = 600_000, 1_000_000, 2_000_000
 
@@ -192,12 +194,43 @@ def sorted_ranges(open_: DataFrame, length: int) -> DataFrame:
     sharded = open_.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, math.ceil(size / SHARD)))))
 
     def work(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
-        found = [repeated_runs(frame["bytes"].iloc[lo:hi].tolist(), length) for lo, hi in zip(bounds, bounds[1:])]
-        snippet = np.concatenate([k + lo for (k, _, _), lo in zip(found, bounds)])
+        texts, anchors = frame["bytes"].tolist(), frame["anchor"].to_numpy().view(np.uint64)
+        chosen = [lo + np.flatnonzero(may_repeat(texts[lo:hi], anchors[lo:hi], length)) for lo, hi in zip(bounds, bounds[1:])]
+        found = [repeated_runs([texts[k] for k in some], length) for some in chosen]
+        snippet = np.concatenate([some[k] for (k, _, _), some in zip(found, chosen)])
         runs = frame[["d1", "d2"]].iloc[snippet].reset_index(drop=True)
         return runs.assign(lo=np.concatenate([x for _, x, _ in found]), hi=np.concatenate([x for _, _, x in found]))
 
-    return map_groups(sharded.select("shard", "d1", "d2", "bytes"), "shard", work, RANGES)
+    return map_groups(sharded.select("shard", "anchor", "d1", "d2", "bytes"), "shard", work, RANGES)
+
+
+def cores(length: int, parts: int) -> list[tuple[int, int, int, int]]:
+    """(first, last, left, right): places of a window's anchor, and the bytes on each side of it that all windows with these places hold."""
+    rest = length - ANCHOR
+    edges = [k * (rest + 1) // parts for k in range(parts + 1)]
+    return [(lo, hi - 1, lo, rest - hi + 1) for lo, hi in zip(edges, edges[1:]) if lo < hi]
+
+
+def may_repeat(texts: list[bytes], anchors: np.ndarray, length: int) -> np.ndarray:
+    """Which snippets, all those of their anchors, share with another all but a few bytes of some window, around the anchor.
+
+    Equal windows have their anchor at the same place. So a window that begins elsewhere,
+    too, shares with its equal the anchor's core for the place's range: the others hold no
+    repeated window, and none is lost. Hashes that agree by chance keep a snippet.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    hashes = Hashes(flat, 1 << len(flat).bit_length())
+    # the first window holds the anchor, and it is the leftmost string of its hash there
+    places = begins[:, None] + np.arange(length - ANCHOR + 1)
+    at = begins + np.argmax(hashes.of(0, places, places + ANCHOR) == anchors[:, None], axis=1)
+    kept = np.zeros(len(texts), bool)
+    for _, _, left, right in cores(length, PARTS):
+        there = np.flatnonzero((at - left >= begins) & (at + ANCHOR + right <= begins + sizes))
+        _, of, counts = np.unique(hashes.of(0, at[there] - left, at[there] + ANCHOR + right), return_inverse=True, return_counts=True)
+        kept[there[counts[of] > 1]] = True
+    return kept
 
 
 def repeated_runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

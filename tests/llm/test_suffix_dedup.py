@@ -112,3 +112,34 @@ def test_the_query_equals_all_windows(spark):
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op12_suffix_dedup"](spark, SMALL).collect()}
     for d, (n, gone, spans, kept) in zip(docs, brute([d.text for d in docs], 200)):
         assert got[d.doc_id] == (n, gone, spans, hashlib.sha256(kept).hexdigest())
+
+
+def test_only_snippets_that_share_a_core_are_sorted():
+    """Of the snippets of one anchor all that hold a repeated window stay, and of those that share little beside the anchor none."""
+    rng, length = np.random.default_rng(9), suffix_dedup.LENGTH
+    rest = length - suffix_dedup.ANCHOR
+    anchor = rng.integers(97, 123, suffix_dedup.ANCHOR).astype(np.uint8)
+    whole = np.frombuffer(anchor.tobytes(), np.uint8)
+    hashed = suffix_dedup.Hashes(whole, 64).of(0, np.array([0]), np.array([len(whole)]))[0]
+    context = rng.integers(97, 123, (2, rest)).astype(np.uint8)
+    texts = []
+    for _ in range(60):
+        left, right = rng.integers(0, rest + 1, 2)
+        # what is shared ends somewhere on each side
+        before, after = rng.integers(97, 123, (2, rest)).astype(np.uint8)
+        before[rest - left :], after[:right] = context[0][rest - left :], context[1][:right]
+        texts.append(np.concatenate((before, anchor, after)).tobytes())
+    kept = suffix_dedup.may_repeat(texts, np.full(len(texts), hashed), length)
+    holds = np.zeros(len(texts), bool)
+    holds[suffix_dedup.repeated_runs(texts, length)[0]] = True
+    assert holds.any() and not holds.all() and kept[holds].all() and not kept.all()
+    alone = [rng.integers(97, 123, rest).astype(np.uint8).tobytes() + anchor.tobytes() + rng.integers(97, 123, rest).astype(np.uint8).tobytes() for _ in range(9)]
+    assert not suffix_dedup.may_repeat(alone, np.full(9, hashed), length).any()
+
+
+def test_cores_cover_every_place():
+    for length, parts in [(49, 8), (55, 8), (200, 8), (200, 1), (201, 300)]:
+        rest = length - suffix_dedup.ANCHOR
+        told = suffix_dedup.cores(length, parts)
+        assert [p for lo, hi, _, _ in told for p in range(lo, hi + 1)] == list(range(rest + 1))
+        assert all(left <= p and right <= rest - p for lo, hi, left, right in told for p in (lo, hi))
