@@ -6,10 +6,9 @@ it puts its own space. Both cut before a single space between two visible charac
 whatever stands around it, so texts are cut there and each distinct word is coded once
 per task while it is remembered.
 
-The spans that the libraries give are coarse cuts: A's are in characters, so several
-tokens of one character share a span, and B's byte-fallback tokens have an empty span
-but for the last. Between two cuts that the spans tell apart, ends follow from the
-tokens' decoded bytes. Two tokens are linked where their byte ranges overlap.
+The spans that A's library gives are coarse cuts: they are in characters, so several
+tokens of one character share a span. Between two cuts that the spans tell apart, and
+for all of B, ends follow from the tokens' decoded bytes. Two tokens are linked where their byte ranges overlap.
 
 Counts of linked ids grow with the vocabularies only, but looking them up for every
 document would shuffle every link. So documents are worked on in slices of a few
@@ -23,7 +22,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 from pathlib import Path
 
 import numpy as np
@@ -141,17 +140,16 @@ class Aligner:
         return ids, counts, refined(self.a_bytes.lengths[ids], np.where(inside, -1, coarse), first)
 
     def _b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """B's ids, ids per text, and byte ends in a space and the text."""
-        told = []
-        for proto in self.b.encode(texts, return_type="proto", num_threads=1):
-            told.append(np.array([(p.id, p.end) for p in proto.pieces], np.int64).reshape(-1, 2))
-        counts, told = np.fromiter(map(len, told), np.int64, len(told)), np.concatenate(told)
-        first = np.cumsum(counts) - counts
-        before = np.concatenate(([0], told[:-1, 1]))[: len(told)]
-        before[first[first < len(told)]] = 0
-        # spans do not count the space before the text; an empty span tells nothing
-        coarse = np.where(told[:, 1] > before, told[:, 1] + 1, -1)
-        return told[:, 0], counts, refined(self.b_bytes.lengths[told[:, 0]], coarse, first)
+        """B's ids, ids per text, and byte ends in a space and the text.
+
+        Spans are not asked for: they cost more than the coding, and where tokens spell their
+        text, as all that are used do, its ends are those of their decoded bytes.
+        """
+        coded = self.b.encode(texts, num_threads=1)
+        counts = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = np.fromiter(chain.from_iterable(coded), np.int64)
+        total = np.concatenate(([0], np.cumsum(self.b_bytes.lengths[ids])))
+        return ids, counts, total[1:] - np.repeat(total[np.cumsum(counts) - counts], counts)
 
     def learn(self, words: list[str]) -> None:
         """Align ``words``, none of them known.

@@ -133,3 +133,20 @@ def test_ends_between_told_cuts():
     lengths, first = np.array([2, 1, 1, 3, 2, 2]), np.array([0, 4])
     assert token_alignment.refined(lengths, np.array([2, -1, 4, 7, -1, 4]), first).tolist() == [2, 3, 4, 7, 2, 4]
     assert token_alignment.refined(lengths, np.array([2, -1, 9, 7, -1, 4]), first).tolist() == [2, 3, 4, 7, 2, 4]
+
+
+def test_ids_of_b_are_read_without_spans():
+    """Spans of B cost more than its coding and tell nothing that the bytes of its ids do not."""
+    aligner = token_alignment.Aligner(*FILES)
+    library, asked = aligner.b, []
+
+    class Recorder:
+        def encode(self, texts, **options):
+            asked.append(options.get("return_type"))
+            return library.encode(texts, **options)
+
+    aligner.b = Recorder()
+    text = "naïve  words\n€ 🙂 done"
+    ids, counts, ends = aligner._b([text, "x"])
+    assert counts.sum() == len(ids) and ends[counts[0] - 1] == len(text.encode()) + 1 and ends[-1] == 2
+    assert asked and "proto" not in asked
