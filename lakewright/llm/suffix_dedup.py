@@ -9,8 +9,12 @@ permuted common prefixes tell which windows start elsewhere, too.
 Before that, texts that are equal become one, anchors that stand at one place only are left
 out, and of equal snippets (same 128-bit digest) one is sorted; their windows are all
 repeated. An anchor with more than ``CROWD`` different snippets, such as the edge of a
-passage that stands in very many texts, is not sorted: its windows are counted by their
-128-bit digests, which combine before the shuffle. Both ways give every repeated window.
+passage that stands in very many texts, is not sorted as a whole. Its snippets are cut by
+the anchor's place in a window, and each part takes the bytes that all its windows hold, its
+core, for an anchor: equal windows are in equal parts. Parts whose core stands once go,
+equal ones become one, and those that share a core are sorted as snippets are; only the
+windows of cores that are crowded still are counted by their 128-bit digests, which combine
+before the shuffle. All ways give every repeated window.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ from lakewright.llm.tables import settled, unused
 LENGTH, ANCHOR = 200, 48
 #: Different snippets of an anchor up to which they are sorted in one shard.
 CROWD = 1500
-#: Ranges of an anchor's places in a window, each with a core of its own.
-PARTS = 8
+#: Ranges of an anchor's places in a window, each with a core of its own: in choosing what is sorted, and in cutting crowded snippets.
+PARTS, CUTS = 8, 12
 #: Bytes of snippets in a shard on average, windows hashed at a time, and bytes of text in a slice.
 SHARD, BLOCK, BYTES = 600_000, 1_000_000, 2_000_000
 
@@ -146,8 +150,7 @@ def anchored(classes: DataFrame, length: int) -> DataFrame:
                     told = [ids[text], copies[text], start, windows, *(h.view(np.int64) for h in hashes)]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in told], ["class", "copies", "start", "windows", "anchor", "d1", "d2"])
 
-    schema = "class long, copies long, start long, windows long, anchor long, d1 long, d2 long"
-    return classes.filter(F.length("bytes") >= length).select("class", "copies", "bytes").mapInArrow(run, schema)
+    return classes.filter(F.length("bytes") >= length).select("class", "copies", "bytes").mapInArrow(run, SNIPPETS)
 
 
 def live_snippets(snippets: DataFrame) -> DataFrame:
@@ -186,16 +189,21 @@ def snippet_bytes(live: DataFrame, classes: DataFrame, length: int) -> DataFrame
 
 
 RANGES = "d1 long, d2 long, lo long, hi long"
+SNIPPETS = "class long, copies long, start long, windows long, anchor long, d1 long, d2 long"
 
 
-def sorted_ranges(open_: DataFrame, length: int) -> DataFrame:
-    """(d1, d2, lo, hi): the repeated windows of snippets, found by a suffix array of each shard."""
+def all_of(texts: list[bytes], anchors: np.ndarray, length: int) -> np.ndarray:
+    return np.ones(len(texts), bool)
+
+
+def sorted_ranges(open_: DataFrame, length: int, choice: Callable[[list[bytes], np.ndarray, int], np.ndarray]) -> DataFrame:
+    """(d1, d2, lo, hi): the repeated windows of snippets, found by a suffix array of those of each shard that ``choice`` takes."""
     size = open_.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)).alias("size")).first()["size"]
     sharded = open_.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, math.ceil(size / SHARD)))))
 
     def work(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
         texts, anchors = frame["bytes"].tolist(), frame["anchor"].to_numpy().view(np.uint64)
-        chosen = [lo + np.flatnonzero(may_repeat(texts[lo:hi], anchors[lo:hi], length)) for lo, hi in zip(bounds, bounds[1:])]
+        chosen = [lo + np.flatnonzero(choice(texts[lo:hi], anchors[lo:hi], length)) for lo, hi in zip(bounds, bounds[1:])]
         found = [repeated_runs([texts[k] for k in some], length) for some in chosen]
         snippet = np.concatenate([some[k] for (k, _, _), some in zip(found, chosen)])
         runs = frame[["d1", "d2"]].iloc[snippet].reset_index(drop=True)
@@ -211,6 +219,12 @@ def cores(length: int, parts: int) -> list[tuple[int, int, int, int]]:
     return [(lo, hi - 1, lo, rest - hi + 1) for lo, hi in zip(edges, edges[1:]) if lo < hi]
 
 
+def anchor_places(hashes: Hashes, begins: np.ndarray, anchors: np.ndarray, length: int) -> np.ndarray:
+    """Where the anchor of each snippet stands: its first window holds it, and it is the leftmost string of its hash there."""
+    places = begins[:, None] + np.arange(length - ANCHOR + 1)
+    return begins + np.argmax(hashes.of(0, places, places + ANCHOR) == anchors[:, None], axis=1)
+
+
 def may_repeat(texts: list[bytes], anchors: np.ndarray, length: int) -> np.ndarray:
     """Which snippets, all those of their anchors, share with another all but a few bytes of some window, around the anchor.
 
@@ -222,9 +236,7 @@ def may_repeat(texts: list[bytes], anchors: np.ndarray, length: int) -> np.ndarr
     begins = np.cumsum(sizes) - sizes
     flat = np.frombuffer(b"".join(texts), np.uint8)
     hashes = Hashes(flat, 1 << len(flat).bit_length())
-    # the first window holds the anchor, and it is the leftmost string of its hash there
-    places = begins[:, None] + np.arange(length - ANCHOR + 1)
-    at = begins + np.argmax(hashes.of(0, places, places + ANCHOR) == anchors[:, None], axis=1)
+    at = anchor_places(hashes, begins, anchors, length)
     kept = np.zeros(len(texts), bool)
     for _, _, left, right in cores(length, PARTS):
         there = np.flatnonzero((at - left >= begins) & (at + ANCHOR + right <= begins + sizes))
@@ -252,7 +264,7 @@ def repeated_runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarr
 
 
 def counted_ranges(open_: DataFrame, length: int) -> DataFrame:
-    """(d1, d2, lo, hi): the same for snippets of crowded anchors, by counting the digests of their windows."""
+    """(d1, d2, lo, hi): the same for snippets of anchors that are crowded, by counting the digests of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,17 +284,63 @@ def counted_ranges(open_: DataFrame, length: int) -> DataFrame:
     return windows.filter("n = 1").join(repeated, ["w1", "w2"]).select("d1", "d2", "lo", (F.col("lo") + 1).alias("hi"))
 
 
-def repeated_ranges(classes: DataFrame, length: int) -> DataFrame:
-    """(class, lo, hi): byte ranges of distinct texts that are covered by repeated windows; they may overlap."""
-    snippets = settled(anchored(classes, length), "snippets")
+def cut_parts(crowded: DataFrame, length: int) -> DataFrame:
+    """(class, copies, start, windows, anchor, d1, d2): crowded snippets (a class each) cut by the anchor's place, with the cores as anchors.
+
+    Each window of a snippet is in exactly one of its parts. Equal windows have their anchor
+    at the same place, and so the same core: a part is a snippet with an anchor of its own.
+    """
+    ranges = cores(length, CUTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "bytes", BLOCK // 4):
+                flat, bounds = flat_bytes(column(part, "bytes"))
+                ids, copies, anchors = (column(part, c).to_numpy() for c in ("class", "copies", "anchor"))
+                hashes, begins, windows = Hashes(flat, 1 << (len(flat) + length).bit_length()), bounds[:-1], np.diff(bounds) - length + 1
+                at = anchor_places(hashes, begins, anchors.view(np.uint64), length)
+                place = at - begins
+                for k, (lo, hi, left, right) in enumerate(ranges):
+                    # the windows that begin hi to lo bytes before the anchor
+                    first, stop = np.maximum(place - hi, 0), np.minimum(place - lo + 1, windows)
+                    there = np.flatnonzero(first < stop)
+                    a, z, here = begins[there] + first[there], begins[there] + stop[there] + length - 1, at[there]
+                    core = mix(hashes.of(0, here - left, here + ANCHOR + right) + np.uint64(k))
+                    told = [ids[there], copies[there], first[there], (stop - first)[there], *(x.view(np.int64) for x in (core, hashes.of(0, a, z), hashes.of(1, a, z)))]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in told], ["class", "copies", "start", "windows", "anchor", "d1", "d2"])
+
+    return crowded.select("class", "copies", "anchor", "bytes").mapInArrow(run, SNIPPETS)
+
+
+def crowded_ranges(open_: DataFrame, length: int) -> DataFrame:
+    """(d1, d2, lo, hi): the repeated windows of snippets of crowded anchors, found by their parts."""
+    crowded = open_.select("anchor", "d1", "d2", F.col("n").alias("copies"), "bytes").withColumn("class", F.monotonically_increasing_id())
+    crowded = settled(crowded, "crowded-snippets")
+    # parts in one core share it already
+    found = repeated_windows(crowded, settled(cut_parts(crowded, length), "crowded-parts"), length, all_of, counted_ranges)
+    # what stands more than once is repeated as a whole
+    return found.join(crowded.filter("copies = 1").select("class", "d1", "d2"), "class").select("d1", "d2", "lo", "hi")
+
+
+def repeated_windows(
+    classes: DataFrame, snippets: DataFrame, length: int, choice: Callable[[list[bytes], np.ndarray, int], np.ndarray],
+    of_crowded: Callable[[DataFrame, int], DataFrame],
+) -> DataFrame:
+    """(class, lo, hi): the repeated windows of stored ``snippets`` of ``classes``; ``of_crowded`` finds those of crowded anchors."""
     live = live_snippets(snippets)
     open_ = snippet_bytes(live, classes, length)
-    found = sorted_ranges(open_.filter(F.col("n_different") <= CROWD), length)
-    found = settled(found.unionByName(counted_ranges(open_.filter(F.col("n_different") > CROWD), length)), "repeated-windows")
+    found = sorted_ranges(open_.filter(F.col("n_different") <= CROWD), length, choice)
+    found = settled(found.unionByName(of_crowded(open_.filter(F.col("n_different") > CROWD), length)), "repeated-windows")
     whole = live.filter("n > 1").select("class", F.col("start").alias("lo"), (F.col("start") + F.col("windows")).alias("hi"))
     single = live.filter("n = 1 AND n_different > 1").join(found, ["d1", "d2"])
     partly = single.select("class", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
-    return whole.unionByName(partly).select("class", "lo", (F.col("hi") + (length - 1)).alias("hi"))
+    return whole.unionByName(partly)
+
+
+def repeated_ranges(classes: DataFrame, length: int) -> DataFrame:
+    """(class, lo, hi): byte ranges of distinct texts that are covered by repeated windows; they may overlap."""
+    found = repeated_windows(classes, settled(anchored(classes, length), "snippets"), length, may_repeat, crowded_ranges)
+    return found.select("class", "lo", (F.col("hi") + (length - 1)).alias("hi"))
 
 
 def without_ranges(classes: DataFrame, ranges: DataFrame) -> DataFrame:

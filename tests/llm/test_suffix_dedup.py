@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakewright.llm import suffix_dedup
 from lakewright.llm.queries import QUERIES
@@ -143,3 +144,26 @@ def test_cores_cover_every_place():
         told = suffix_dedup.cores(length, parts)
         assert [p for lo, hi, _, _ in told for p in range(lo, hi + 1)] == list(range(rest + 1))
         assert all(left <= p and right <= rest - p for lo, hi, left, right in told for p in (lo, hi))
+
+
+def test_crowded_snippets_give_few_window_rows(spark, monkeypatch):
+    """Many texts with the edge of one passage: parts of their snippets are compared, and not each of their windows."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 20)
+    rng, counted = random.Random(4), []
+
+    def prose(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passage, own = prose(300), suffix_dedup.counted_ranges
+    texts = [prose(250) + passage + prose(250) for _ in range(60)]
+
+    def noted(open_, length):
+        counted.append(open_.agg(F.coalesce(F.sum("windows"), F.lit(0)).alias("n")).first()["n"])
+        return own(open_, length)
+
+    monkeypatch.setattr(suffix_dedup, "counted_ranges", noted)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert [got[k] for k in range(len(texts))] == list(brute(texts, suffix_dedup.LENGTH))
+    # a snippet at an edge of the passage has up to 153 windows, its crowded part 13
+    assert sum(counted) <= len(texts) * 2 * 2 * 13
