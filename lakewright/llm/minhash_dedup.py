@@ -50,8 +50,10 @@ SIGNATURE, LEAF, BRANCHES, STEP, DEPTH = 64, 48, 4, 2, 4
 BLOCK = 128
 #: Mean agreement with a node's first class from which a large node is not branched.
 ALIKE = 0.35
-#: Cells of the table of classes by tokens up to which a unit is compared at once.
-CELLS = 8_000_000
+#: Cells of the table of classes by tokens that are filled at a time.
+CELLS = 1_000_000
+#: Rows with a text or a full set, some kilobytes each, that go to a Python worker at once.
+ROWS = 1000
 #: Bytes of text that a task turns into shingles at a time.
 BYTES = 500_000
 SEEDS = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -290,7 +292,7 @@ def sets_of(classes: DataFrame, docs: DataFrame, members: DataFrame, id: str, te
     one_of_each = members.join(classes, "class").groupBy("class").agg(F.min("id").alias("id")).select(F.col("id").alias(id)).distinct()
     # a class may have no other id than null
     found = full_sets(rows_with(docs, one_of_each, id), id, text, words)
-    return settled(found.join(classes, "class", "left_semi").dropDuplicates(["class"]), "full-sets")
+    return settled(found.join(classes, "class", "left_semi").dropDuplicates(["class"]), "full-sets", ROWS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -336,13 +338,16 @@ def _may_fit(units: DataFrame, percent: int) -> DataFrame:
 
 def _shared_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """The sizes of all intersections of a list of sets with another."""
-    flat = np.concatenate([*left, *right])
-    values, at = np.unique(flat, return_inverse=True)
-    if (len(left) + len(right)) * len(values) > CELLS:
-        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left])
-    table = np.zeros((len(left) + len(right), len(values)), np.float32)
-    table[np.repeat(np.arange(len(table)), [len(x) for x in [*left, *right]]), at] = 1
-    return (table[: len(left)] @ table[len(left) :].T).astype(np.int64)
+    sets = [*left, *right]
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    of, shared = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.zeros((len(left), len(right)), np.int64)
+    width = max(1, CELLS // len(sets))
+    for lo in range(0, len(values), width):
+        here = (at >= lo) & (at < lo + width) if width < len(values) else slice(None)
+        table = np.zeros((len(sets), min(width, len(values) - lo)), np.float32)
+        table[of[here], at[here] - lo] = 1
+        shared += (table[: len(left)] @ table[len(left) :].T).astype(np.int64)
+    return shared
 
 
 def _unit_links(units: DataFrame, percent: int) -> DataFrame:
@@ -393,7 +398,7 @@ def near_duplicates(
     probability of less than 1 - ``recall``, and any other path between the two
     makes up for it. A ``recall`` that the signatures cannot give at a low ``percent`` is refused.
     """
-    rows = settled(sketches(docs, id, text, words), "sketches")
+    rows = settled(sketches(docs, id, text, words), "sketches", ROWS)
     members = rows.filter("class IS NOT NULL").select("id", "class")
     classes = settled(
         rows.filter("class IS NOT NULL").groupBy("class").agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
@@ -426,7 +431,7 @@ def near_duplicates(
     units = few.select(F.col("node").alias("unit"), "class", F.lit(0).alias("side")).unionByName(_residue_blocks(large))
     open_rows = settled(_may_fit(now(units.join(known, "class")), percent), "open-rows")
     open_sets = sets_of(open_rows.select("class").distinct(), docs, members, id, text, words)
-    more_links = _unit_links(open_rows.join(open_sets, "class"), percent)
+    more_links = settled(_unit_links(open_rows.join(open_sets, "class"), percent), "unit-links", ROWS)
     # rows that share an id are one document: their classes are linked without comparison
     shared = members.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count_distinct("class").alias("n")).filter("n > 1")
     same_id = members.join(shared, "id").filter("class <> a").select("a", F.col("class").alias("b"))

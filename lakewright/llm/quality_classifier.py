@@ -35,7 +35,7 @@ CAPITALS, REPEATED = 0, 1
 RARE, KNOWN = 0.01, 3
 HIDDEN, EPOCHS, BATCH = 32, 60, 128
 #: Characters worked on at a time, and distinct words whose buckets a task remembers.
-CHARS, REMEMBERED = 400_000, 200_000
+CHARS, REMEMBERED = 100_000, 20_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from lakewright.session import scratch_path
 
 #: Bitmaps of 32,768 ids (4 KB) each up to which ids are broadcast: 32 MB.
 BITMAPS = 8192
+#: Session setting of the rows that go to Python at once.
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,14 +31,30 @@ def unused(columns: Iterable[str], *names: str) -> list[str]:
     return free
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside hand at most ``rows`` rows at once to Python, or fewer if the session says so; its setting is put back.
+
+    A batch is held as a whole by the executor and by the worker. Results do not depend on it.
+    """
+    before = spark.conf.get(BATCH_SETTING)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(BATCH_SETTING, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
+def settled(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back; with ``batch``, at most so many rows go to Python at once.
 
     Cuts the lineage, so a lost executor repeats no more than the jobs that follow,
     and gives the planner the true size of what it may broadcast.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with batches_of(df.sparkSession, batch) if batch else nullcontext():
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from lakewright.llm import (
     quality_classifier,
     sentencepiece_codec,
     sharding,
+    tables,
     token_counts,
     url_filter,
 )
@@ -485,3 +487,23 @@ def test_rows_are_chosen_by_bitmaps_of_ids_without_being_moved(spark, monkeypatc
     monkeypatch.setattr(tables, "BITMAPS", 8192)
     plan = tables.rows_with(tables.table(spark, "/root/testdata/sf0.001", "documents"), spark.range(0, 10**6, 3).withColumnRenamed("id", "doc_id"), "doc_id")._jdf.queryExecution()
     assert "Exchange hashpartitioning" not in plan.executedPlan().toString()
+
+
+def test_few_rows_go_to_python_at_once_and_the_setting_stays(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    before = spark.conf.get(tables.BATCH_SETTING)
+    sizes = tables.settled(spark.range(0, 2500, 1, 1).mapInArrow(run, "n long"), "batch-sizes", minhash_dedup.ROWS)
+    assert sorted(r.n for r in sizes.collect()) == [500, 1000, 1000]
+    assert spark.conf.get(tables.BATCH_SETTING) == before
+
+
+def test_shared_tokens_of_large_units_are_counted_in_parts(monkeypatch):
+    """The table of a unit is filled a few columns at a time, and never pair by pair."""
+    rng = np.random.default_rng(3)
+    left, right = ([np.unique(rng.integers(0, 300, 60)) for _ in range(n)] for n in (5, 9))
+    monkeypatch.setattr(minhash_dedup, "CELLS", 100)
+    monkeypatch.setattr(np, "intersect1d", None)
+    assert minhash_dedup._shared_tokens(left, right).tolist() == [[len(set(x) & set(y)) for y in right] for x in left]
